@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lapforge.llm import language, sharding
+from lapforge.llm import language, sharding, toxicity
 from lapforge.llm.common import table
 
 SHARDS = [f"shard-{k:03d}" for k in range(64)]
@@ -17,12 +17,17 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(docs.select("doc_id"), "doc_id", SHARDS)
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.query(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
+    "op2_toxicity": op2_toxicity,
     "op4_language": op4_language,
 }
 
