@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lapforge.llm import language, sharding, toxicity
+from lapforge.llm import language, sharding, simhash, toxicity
 from lapforge.llm.common import table
 
 SHARDS = [f"shard-{k:03d}" for k in range(64)]
@@ -21,6 +21,10 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.query(table(spark, sf_dir, "documents"))
+
+
 def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.query(table(spark, sf_dir, "documents"))
 
@@ -28,6 +32,7 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_toxicity": op2_toxicity,
+    "op3_simhash": op3_simhash,
     "op4_language": op4_language,
 }
 
