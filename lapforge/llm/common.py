@@ -55,12 +55,12 @@ def remainder(doc_id: str | Column, mod: int) -> Column:
     return F.crc32(F.coalesce(col.cast("string"), F.lit("")).cast("binary")) % F.lit(mod)
 
 
-def text_slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBatch]:
+def text_slices(batch: pa.RecordBatch, column: str = "text", chars: int = SLICE_CHARS) -> Iterator[pa.RecordBatch]:
     """Cut a batch by the length of its texts, so that working memory follows one slice."""
     if batch.num_rows == 0:
         return
     lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
-    part = (np.cumsum(lengths, dtype=np.int64) - lengths) // SLICE_CHARS
+    part = (np.cumsum(lengths, dtype=np.int64) - lengths) // chars
     cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
     for a, b in zip(cuts[:-1], cuts[1:], strict=True):
         yield batch.slice(a, b - a)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lapforge.llm import language, sharding, simhash, toxicity
+from lapforge.llm import language, mixing, packing, sharding, simhash, toxicity
 from lapforge.llm.common import table
 
 SHARDS = [f"shard-{k:03d}" for k in range(64)]
@@ -29,12 +29,22 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.query(table(spark, sf_dir, "documents"))
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.query(table(spark, sf_dir, "documents"))
+
+
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.query(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_toxicity": op2_toxicity,
     "op3_simhash": op3_simhash,
     "op4_language": op4_language,
+    "op7_packing": op7_packing,
+    "op10_mixing": op10_mixing,
 }
 
 #: DuckDB SQL of those that SQL can express.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op10_mixing": mixing.ORACLE}
