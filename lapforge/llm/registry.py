@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lapforge.llm import language, mixing, packing, sharding, simhash, toxicity
+from lapforge.llm import chat, language, mixing, neighbours, packing, sharding, simhash, topk, toxicity
 from lapforge.llm.common import table
 
 SHARDS = [f"shard-{k:03d}" for k in range(64)]
@@ -29,6 +29,18 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.query(table(spark, sf_dir, "documents"))
 
 
+def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.query(table(spark, sf_dir, "conversations"))
+
+
+def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.query(table(spark, sf_dir, "embeddings"))
+
+
+def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.query(table(spark, sf_dir, "embeddings"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.query(table(spark, sf_dir, "documents"))
 
@@ -42,9 +54,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_toxicity": op2_toxicity,
     "op3_simhash": op3_simhash,
     "op4_language": op4_language,
+    "op5_chat": op5_chat,
     "op7_packing": op7_packing,
+    "op8_neighbours": op8_neighbours,
+    "op9_topk": op9_topk,
     "op10_mixing": op10_mixing,
 }
 
 #: DuckDB SQL of those that SQL can express.
-ORACLES: dict[str, str] = {"op10_mixing": mixing.ORACLE}
+ORACLES: dict[str, str] = {"op9_topk": topk.ORACLE, "op10_mixing": mixing.ORACLE}
