@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lapforge.llm import chat, language, mixing, neighbours, packing, sharding, simhash, topk, toxicity
+from lapforge.llm import chat, language, maxent, mixing, neighbours, packing, sharding, simhash, topk, toxicity
 from lapforge.llm.common import table
 
 SHARDS = [f"shard-{k:03d}" for k in range(64)]
@@ -41,6 +41,10 @@ def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.query(table(spark, sf_dir, "embeddings"))
 
 
+def op6_maxent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxent.query(table(spark, sf_dir, "documents"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.query(table(spark, sf_dir, "documents"))
 
@@ -55,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash": op3_simhash,
     "op4_language": op4_language,
     "op5_chat": op5_chat,
+    "op6_maxent": op6_maxent,
     "op7_packing": op7_packing,
     "op8_neighbours": op8_neighbours,
     "op9_topk": op9_topk,
