@@ -11,14 +11,14 @@ then lies in underfull bins of all shards is dealt out and packed once more.
 from __future__ import annotations
 
 import os
-import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import regex
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,55 +29,65 @@ END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
 SHARD = 4_096
 UNDERFULL = 0.97
-MEMO = 300_000
-_SLICE = 3_000_000
+MEMO = 500_000
+_SLICE = 4_000_000
 
 #: How the tokenizer cuts a lower-cased text.
-_CUT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+_CUT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: Chunks of these characters are neither changed by normalisation nor cut by unusual blanks.
-_PLAIN = re.compile(r"[!-~¡-įı-˿]+")
+_PLAIN = "^[!-~¡-įı-˿]+$"
+
+
+def _spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Places of runs, given where each begins and its size."""
+    upto = np.cumsum(sizes)
+    return np.repeat(starts - upto + sizes, sizes) + np.arange(upto[-1] if len(upto) else 0)
 
 
 class Encoder:
-    """Ids of texts by way of their distinct chunks between blanks, which tokenise independently."""
+    """Ids of texts by way of their distinct parts: chunks between blanks, cut as the tokenizer cuts them.
+
+    Ids of parts are kept from batch to batch, of at most about ``MEMO`` parts.
+    """
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.chunks: dict[str, np.ndarray] = {}
-        self.parts: dict[str, list[int]] = {}
-
-    def _ids(self, strings: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(strings, add_special_tokens=False)]
-
-    def _learn(self, chunks: list[str]) -> None:
-        plain = {c: _CUT.findall(c.lower()) for c in chunks if _PLAIN.fullmatch(c) and "<|" not in c}
-        fresh = list({p for ps in plain.values() for p in ps if p not in self.parts})
-        self.parts.update(zip(fresh, self._ids(fresh), strict=True))
-        rest = [c for c in chunks if c not in plain]
-        for c, ids in zip(rest, self._ids(rest), strict=True):
-            self.chunks[c] = np.array(ids, dtype=np.uint32)
-        for c, ps in plain.items():
-            self.chunks[c] = np.array([i for p in ps for i in self.parts[p]], dtype=np.uint32)
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.ids = np.empty(0, dtype=np.uint32)
+        self.size = np.empty(0, dtype=np.int64)
+
+    def _places(self, parts: list[str]) -> np.ndarray:
+        """Number of each part among the known ones; learns the missing ones."""
+        if len(self.known) > MEMO:
+            self._forget()
+        known = self.known
+        fresh = [p for p in parts if p not in known]
+        if fresh:
+            got = [e.ids for e in self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)]
+            known.update(zip(fresh, range(len(self.size), len(self.size) + len(fresh)), strict=True))
+            self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(got), dtype=np.uint32)])
+            self.size = np.concatenate([self.size, np.fromiter(map(len, got), dtype=np.int64, count=len(got))])
+        return np.fromiter(map(known.__getitem__, parts), dtype=np.int64, count=len(parts))
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and the bounds of each text in them."""
-        ends, idx, words = words_of(texts, lower=False)
-        words = words.to_pylist()
-        for memo in (self.chunks, self.parts):
-            if len(memo) > MEMO:
-                memo.clear()
-        self._learn([w for w in words if w not in self.chunks])
-        each = [self.chunks[w] for w in words]
-        size = np.fromiter(map(len, each), dtype=np.int64, count=len(each))
-        start = np.cumsum(size) - size
-        flat = np.concatenate([*each, np.empty(0, dtype=np.uint32)])
-        lens = size[idx]
-        upto = np.zeros(len(idx) + 1, dtype=np.int64)
-        np.cumsum(lens, out=upto[1:])
-        return flat[np.repeat(start[idx] - upto[:-1], lens) + np.arange(upto[-1])], upto[ends]
+        ends, idx, chunks = words_of(texts, lower=False)
+        plain = pc.and_(pc.match_substring_regex(chunks, _PLAIN), pc.invert(pc.match_substring(chunks, "<|")))
+        cut = pc.replace_substring_regex(pc.utf8_lower(chunks), _CUT, r"\0 ")
+        part_ends, part_idx, parts = words_of(pc.if_else(plain, cut, chunks), lower=False)
+        place = self._places(parts.to_pylist())[part_idx]
+        size = self.size[place]
+        flat = self.ids[_spread((np.cumsum(self.size) - self.size)[place], size)]
+        upto = np.concatenate([[0], np.cumsum(size)])
+        start = upto[part_ends]
+        lens = np.diff(start)[idx]
+        return flat[_spread(start[:-1][idx], lens)], np.concatenate([[0], np.cumsum(lens)])[ends]
 
 
 _encoders: dict[str, Encoder] = {}
