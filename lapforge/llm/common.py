@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-SLICE_CHARS = 8_000_000
+SLICE_CHARS = 4_000_000
 
 
 def ready(spark: SparkSession) -> None:
