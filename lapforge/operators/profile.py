@@ -19,7 +19,11 @@ def _lists(kind: T.DataType, path: str = "") -> list[str]:
 
 
 def infer(docs: DataFrame, column: str = "value") -> T.StructType:
-    return docs.sparkSession.read.json(docs.select(F.col(column).alias("value"))).schema
+    """Schema of the JSON documents in ``column``, merged over all of them; nulls count as text."""
+    shape = docs.agg(F.schema_of_variant_agg(variant(column))).first()[0] or "OBJECT<>"
+    ddl = shape.replace("OBJECT<", "STRUCT<").replace("VOID", "STRING").replace("VARIANT", "STRING")
+    kind = T.DataType.fromDDL(ddl)
+    return kind if isinstance(kind, T.StructType) else T.StructType()
 
 
 def collect_records(docs: DataFrame, schema: T.StructType, path: str, column: str = "value") -> DataFrame:

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from lapforge.functions.exprs import arr_field, arr_len, blank, duration_seconds, has_key, session_timestamp, txt, variant
 
 _TAIL = ("source_key", "ingested_at", "updated_at")
-_P = F.col
 
 
 def _stage(raw: DataFrame, **columns: Column) -> DataFrame:
