@@ -7,16 +7,24 @@ the whole space, so some v is orthogonal to all of them: its mask hides every
 difference, and the pair collides in that table. With radius 4 these are 31
 tables, each keeping about half of the bits, and no pair is missed.
 
-Equal fingerprints are one node. Buckets of two are compared at once; larger
-ones are cut into blocks and dealt out by pairs of blocks, and every pair of
-blocks returns a spanning forest of its links only, so neither a task nor the
-output grows with the square of a bucket.
+Two operators use it. ``group`` links fingerprints of 64 bits that differ in at
+most 4. ``alike`` finds texts whose sets of five-word shingles have a similarity
+of 0.8 or more: of a sketch of 512 bits, three parts of 32 bits get 31 tables
+each, so pairs that differ in at most 14 of these 96 bits surely collide (in one
+part they differ in at most 4) and most others do; of what collides, 128 bits
+choose the nearest pairs and all 512 decide.
+
+Equal fingerprints are one node. A table entry of up to ``BLOCK`` nodes is
+compared in one pass; larger ones are cut into blocks and dealt out by pairs of
+blocks. What leaves a task is a spanning tree of the near nodes of an entry, not
+their pairs.
 """
 
 from __future__ import annotations
 
 import random
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +40,11 @@ RADIUS = 4
 SHINGLE = 4
 SEED = 42
 BLOCK = 1024
+#: Of the five-word sketch: similarity, lanes of 64 bits, bits that may differ among the first 128 and among all.
+ALIKE_SHINGLE = 5
+LANES = 8
+NEAR_128 = 31
+NEAR_ALL = 82
 _SIGN = 1 << 63
 
 
@@ -43,11 +56,11 @@ def masks(radius: int = RADIUS, bits: int = 64) -> list[int]:
     return [sum(1 << i for i, m in enumerate(pool) if (m & v).bit_count() & 1) for v in vectors]
 
 
-def fingerprint(text: bytes, width: int = SHINGLE) -> int:
-    """SimHash of a text whose A-Z is lower-cased already; 0 without words."""
+def _shingles(text: bytes, width: int) -> np.ndarray:
+    """XXH64 of each shingle of a text whose A-Z is lower-cased already; empty without words."""
     words = text.split()
     if not words:
-        return 0
+        return np.empty(0, dtype=np.uint64)
     whole = b" ".join(words)
     sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
     ends = np.cumsum(sizes + 1) - 1
@@ -55,11 +68,32 @@ def fingerprint(text: bytes, width: int = SHINGLE) -> int:
     width = min(width, len(words))
     spans = zip(starts[: len(words) - width + 1].tolist(), ends[width - 1 :].tolist(), strict=True)
     digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(whole[a:b], SEED) for a, b in spans], dtype=np.uint64)
-    total = np.zeros(64, dtype=np.int64)
-    for k in range(0, len(hashes), 1 << 16):
-        total += np.unpackbits(hashes[k : k + (1 << 16)].astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
-    return int.from_bytes(np.packbits(2 * total > len(hashes)).tobytes(), "big")
+    return np.array([digest(whole[a:b], SEED) for a, b in spans], dtype=np.uint64)
+
+
+def _majority(hashes: np.ndarray) -> np.ndarray:
+    """Bits set in over half of the rows of hashes (rows x lanes), as unsigned longs."""
+    lanes = hashes.shape[1]
+    total = np.zeros(64 * lanes, dtype=np.int64)
+    for k in range(0, len(hashes), 255):  # as many bytes add up to at most a byte
+        part = np.ascontiguousarray(hashes[k : k + 255].astype(">u8")).view(np.uint8)
+        total += np.unpackbits(part, axis=1).sum(axis=0, dtype=np.uint8)
+    return np.packbits(2 * total > len(hashes)).view(">u8").astype(np.uint64)
+
+
+def fingerprint(text: bytes, width: int = SHINGLE) -> int:
+    """SimHash of a text whose A-Z is lower-cased already; 0 without words."""
+    return int(_majority(_shingles(text, width)[:, None])[0])
+
+
+def sketch(text: bytes, width: int = ALIKE_SHINGLE, lanes: int = LANES) -> np.ndarray:
+    """SimHash of the set of shingles in ``lanes`` longs, whose hashes are mixed anew for each; zeros without words."""
+    found = np.unique(_shingles(text, width))
+    out = np.zeros(lanes, dtype=np.uint64)
+    x = found[:, None] + np.arange(1, lanes + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
+    return _majority(x ^ (x >> np.uint64(31))) if len(found) else out
 
 
 def fingerprints(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -72,81 +106,130 @@ def fingerprints(docs: DataFrame, text: str = "text") -> DataFrame:
     return appended(docs, [T.StructField("fp", T.LongType())], work)
 
 
-def _near(a: str, b: str, radius: int) -> Column:
-    return F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= radius
+def sketches(docs: DataFrame, text: str = "text") -> DataFrame:
+    """Add ``codes``, the sketch as signed longs. Null and blank texts get zeros."""
+
+    def work(part: pa.RecordBatch) -> list[pa.Array]:
+        found = [sketch(t.as_py().encode("utf-8", "surrogatepass").lower()) for t in texts_of(part, text)]
+        flat = pa.array(np.array(found, dtype=np.uint64).reshape(-1).view(np.int64))
+        return [pa.ListArray.from_arrays(pa.array(np.arange(len(found) + 1, dtype=np.int32) * LANES), flat)]
+
+    return appended(docs, [T.StructField("codes", T.ArrayType(T.LongType()))], work)
 
 
-def _forest(codes: np.ndarray, radius: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    """Links of a spanning forest of one block: each node reached pulls in what is near and not reached yet."""
+def _tree(codes: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
+    """Spanning forest of the nearest links within ``limit`` (Prim's algorithm)."""
     left = np.arange(1, len(codes))
-    queue, froms, tos = [0], [], []
-    while len(left) or queue:
-        if not queue:
-            queue, left = [int(left[0])], left[1:]
-        at = queue.pop()
-        near = np.bitwise_count(codes[left] ^ codes[at]) <= radius
-        if near.any():
-            got = left[near]
-            left = left[~near]
-            queue += got.tolist()
-            froms.append(np.full(len(got), at))
-            tos.append(got)
-        if not len(left):
-            break
-    return froms, tos
-
-
-def _block_links(radius: int):  # noqa: ANN202
-    """Streams rows sorted by block pair; holds one block pair at a time."""
-
-    def finish(held: list[np.ndarray]) -> pa.RecordBatch | None:
-        signed = np.unique(np.concatenate(held))
-        froms, tos = _forest(signed.view(np.uint64), radius)
-        if not froms:
-            return None
-        return pa.RecordBatch.from_arrays([pa.array(signed[np.concatenate(froms)]), pa.array(signed[np.concatenate(tos)])], names=["a", "b"])
+    best = np.full(len(left), 1 << 20)
+    by = np.zeros(len(left), dtype=np.int64)
+    at, froms, tos = 0, [], []
+    while len(left):
+        far = np.bitwise_count(codes[left] ^ codes[at]).sum(axis=1, dtype=np.int64)
+        closer = far < best
+        best[closer], by[closer] = far[closer], at
+        k = int(best.argmin())
+        at = int(left[k])
+        if best[k] <= limit:
+            froms.append(int(by[k]))
+            tos.append(at)
+        left, best, by = np.delete(left, k), np.delete(best, k), np.delete(by, k)
+    return np.array(froms, dtype=np.int64), np.array(tos, dtype=np.int64)
+
+
+def _entry_links(node: np.ndarray, codes: np.ndarray, bounds: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links within the entries that ``bounds`` cut out of the rows, all entries at a time."""
+    sizes = np.diff(bounds)
+    group = np.repeat(np.arange(len(sizes)), sizes)
+    after = bounds[1:][group] - 1 - np.arange(len(node))
+    near = np.zeros(len(node), dtype=bool)
+    rows, shift = np.flatnonzero(after >= 1), 1
+    while len(rows):
+        hit = rows[np.bitwise_count(codes[rows] ^ codes[rows + shift]).sum(axis=1, dtype=np.int64) <= limit]
+        near[hit] = near[hit + shift] = True
+        shift += 1
+        rows = rows[after[rows] >= shift]
+    rows = np.flatnonzero(near)
+    cuts = np.flatnonzero(np.diff(group[rows])) + 1
+    froms, tos = [], []
+    for some in np.split(rows, cuts) if len(rows) else []:
+        a, b = (some[:1], some[1:]) if len(some) == 2 else (some[x] for x in _tree(codes[some], limit))
+        froms.append(node[a])
+        tos.append(node[b])
+    empty = np.empty(0, dtype=np.int64)
+    return np.concatenate([empty, *froms]), np.concatenate([empty, *tos])
+
+
+def _compare(keys: int, lanes: int, limit: int, block: int | None):  # noqa: ANN202
+    """Streams rows (keys, node, codes) sorted by keys into rows (a, b, key, codes).
+
+    Links have a and b; the nodes of entries of more than ``block`` rows are handed
+    on as they are, with b null. At most an entry of that size is held.
+    """
+
+    def links_of(rows: pa.Table, bounds: np.ndarray) -> tuple[pa.Array, pa.Array]:
+        codes = np.stack([rows.column(keys + 1 + k).to_numpy().view(np.uint64) for k in range(lanes)], axis=1)
+        a, b = _entry_links(rows.column(keys).to_numpy(), codes, bounds, limit)
+        return pa.array(a), pa.array(b)
+
+    names = ["a", "b", "key", *(f"c{k}" for k in range(lanes))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
-        key = None
-        for batch in batches:
-            if not batch.num_rows:
+        held: pa.Table | None = None
+        over: tuple | None = None
+        for batch in chain(batches, [None]):
+            parts = ([held] if held is not None else []) + ([pa.Table.from_batches([batch])] if batch is not None else [])
+            rows = pa.concat_tables(parts).combine_chunks() if parts else None
+            if rows is None or not rows.num_rows:
                 continue
-            keys = np.stack([batch.column(k).to_numpy() for k in range(3)])
-            fps = batch.column(3).to_numpy()
-            cuts = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1
-            bounds = [0, *cuts.tolist(), len(fps)]
-            for a, b in zip(bounds[:-1], bounds[1:], strict=True):
-                now = tuple(keys[:, a].tolist())
-                if now != key:
-                    if held and (out := finish(held)):
-                        yield out
-                    held, key = [], now
-                held.append(fps[a:b])
-        if held and (out := finish(held)):
-            yield out
+            key = np.stack([rows.column(k).to_numpy() for k in range(keys)])
+            bounds = np.concatenate([[0], np.flatnonzero((key[:, 1:] != key[:, :-1]).any(axis=0)) + 1, [rows.num_rows]])
+            sizes = np.diff(bounds)
+            wide = sizes > block if block else np.zeros(len(sizes), dtype=bool)
+            wide[0] |= over is not None and tuple(key[:, 0].tolist()) == over
+            last = tuple(key[:, -1].tolist())
+            over = last if wide[-1] else None
+            now = wide.copy()
+            held = None
+            if batch is not None and not wide[-1]:
+                held = rows.slice(int(bounds[-2]))
+                now[-1] = True
+            whole = rows.filter(pa.array(np.repeat(~now, sizes)))
+            if whole.num_rows:
+                a, b = links_of(whole, np.concatenate([[0], np.cumsum(sizes[~now])]))
+                if len(a):
+                    yield pa.RecordBatch.from_arrays([a, b, pa.nulls(len(a), pa.int32()), *[pa.nulls(len(a), pa.int64())] * lanes], names=names)
+            if wide.any():
+                passed = rows.filter(pa.array(np.repeat(wide, sizes))).combine_chunks()
+                columns = [passed.column(keys), pa.chunked_array([pa.nulls(passed.num_rows, pa.int64())]), passed.column(0), *(passed.column(keys + 1 + k) for k in range(lanes))]
+                yield from pa.table(columns, names=names).to_batches()
 
     return run
 
 
-def links(codes: DataFrame, radius: int = RADIUS, block: int = BLOCK) -> DataFrame:
-    """(a, b) pairs of near fingerprints of ``codes`` (fp) that connect all near ones, directly or by way of others.
+def links(nodes: DataFrame, lanes: int = 1, parts: tuple[tuple[int, int, int], ...] = ((0, 0, 64),), limit: int = RADIUS, radius: int = RADIUS, block: int = BLOCK) -> DataFrame:
+    """(a, b) pairs of near rows of ``nodes`` (node, c0, c1, ...: ``lanes`` longs) that connect all near ones that collide.
 
-    ``codes`` holds distinct values. Any two of them within ``radius`` bits are in
-    one component of the result, and each pair returned is within ``radius``.
+    ``parts`` (lane, first bit, bits) are what the tables are built of. Nodes are
+    distinct, and so are their codes. Each pair returned differs in at most
+    ``limit`` bits; any two that do so and differ in at most ``radius`` bits of
+    some part are in one component of the result.
     """
-    ready(codes.sparkSession)
-    keyed = F.explode(F.array(*[F.xxhash64(F.lit(k), F.col("fp").bitwiseAND(F.lit(m - 2 * _SIGN if m >= _SIGN else m))) for k, m in enumerate(masks(radius))]))
-    spread = codes.select("fp", keyed.alias("key"))
-    counted = spread.groupBy("key").agg(F.count("*").alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b")).filter("n > 1")
-    buckets = written(counted, "buckets")
-    pairs = buckets.filter("n = 2").filter(_near("a", "b", radius)).select("a", "b")
-    large = buckets.filter("n > 2").select("key", F.ceil(F.col("n") / block).cast("int").alias("parts"))
-    rows = spread.join(large, "key").withColumn("own", F.pmod(F.xxhash64("fp", F.lit(7)), F.col("parts")).cast("int"))
+    ready(nodes.sparkSession)
+    signed = lambda m: m - 2 * _SIGN if m >= _SIGN else m
+    tables = [(lane, signed(m << first)) for lane, first, bits in parts for m in masks(radius, bits)]
+    codes = [f"c{k}" for k in range(lanes)]
+    keys = F.explode(F.array(*[F.hash(F.lit(k), F.col(f"c{lane}").bitwiseAND(F.lit(m))) for k, (lane, m) in enumerate(tables)]))
+    spread = nodes.select(keys.alias("key"), "node", *codes).repartition("key").sortWithinPartitions("key")
+    schema = f"a long, b long, key int, {', '.join(f'{c} long' for c in codes)}"
+    met = written(spread.mapInArrow(_compare(1, lanes, limit, block), schema), "met")
+    large = met.filter("b is null").select("key", F.col("a").alias("node"), *codes)
+    shares = large.groupBy("key").agg(F.ceil(F.count("*") / block).cast("int").alias("parts"))
+    rows = large.join(shares, "key").withColumn("own", F.pmod(F.xxhash64("node", F.lit(7)), F.col("parts")).cast("int"))
     other = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    dealt = other.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "fp")
+    dealt = other.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", *codes)
     dealt = dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    return pairs.unionByName(dealt.mapInArrow(_block_links(radius), "a long, b long")).distinct()
+    more = dealt.mapInArrow(_compare(3, lanes, limit, None), schema)
+    return met.filter("b is not null").select("a", "b").unionByName(more.select("a", "b")).distinct()
 
 
 def group(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
@@ -158,7 +241,7 @@ def group(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     """
     prints = written(fingerprints(docs.select("doc_id", "text")).select("doc_id", "fp"), "fingerprints")
     nodes = written(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
-    roots = components(links(nodes.select("fp"), radius)).select(F.col("node").alias("fp"), "root")
+    roots = components(links(nodes.select(F.col("fp").alias("node"), F.col("fp").alias("c0")), limit=radius, radius=radius)).select(F.col("node").alias("fp"), "root")
     placed = nodes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     named = placed.join(placed.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("fp", "component_id")
     return prints.join(named, "fp")
@@ -169,9 +252,35 @@ def query(docs: DataFrame) -> DataFrame:
     return group(docs).select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+def _bits_apart(a: str, b: str) -> Column:
+    return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, n: s + n)
+
+
+def alike(docs: DataFrame) -> DataFrame:
+    """uid, doc_id, codes' component for rows (uid, doc_id, text): one row per distinct sketch.
+
+    Columns: ``best``, the row that stands for the sketch (least doc_id, nulls
+    last, then uid), and ``root``, the same for all sketches that reach each other
+    over links of an estimated similarity of 0.8 or more. Texts with equal sets of
+    shingles share a sketch; texts without words share one too.
+    """
+    found = sketches(docs.select("uid", "doc_id", "text")).select("uid", "doc_id", "codes")
+    nodes = found.groupBy("codes").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "uid")).alias("best"))
+    nodes = written(nodes.withColumn("node", F.col("best.uid")), "sketches")
+    pairs = links(nodes.select("node", F.col("codes")[0].alias("c0"), F.col("codes")[1].alias("c1")), lanes=2, parts=((0, 0, 32), (0, 32, 32), (1, 0, 32)), limit=NEAR_128)
+    side = lambda x: nodes.select(F.col("node").alias(x), F.col("codes").alias(f"codes_{x}"))
+    sure = pairs.join(side("a"), "a").join(side("b"), "b").filter(_bits_apart("codes_a", "codes_b") <= NEAR_ALL).select("a", "b")
+    return nodes.join(components(sure), "node", "left").select("best", F.coalesce("root", "node").alias("root"))
+
+
 def stage(docs: DataFrame) -> DataFrame:
-    """Keep one document of each component, the one that names it; of repeated rows of that id, one."""
-    found = group(docs).filter("doc_id <=> component_id").select("doc_id").distinct()
-    kept = docs.join(found, docs["doc_id"].eqNullSafe(found["doc_id"]), "left_semi")
-    again = kept.groupBy("doc_id").agg(*[F.first(c).alias(c) for c in docs.columns if c != "doc_id"])
-    return again.select(*docs.columns)
+    """Keep one document of each group of near copies: the least doc_id, nulls last.
+
+    Near are texts whose sets of five-word shingles have an estimated similarity of
+    0.8 or more (``alike``), directly or by way of others. Repeated rows are copies;
+    rows that share an id (or have none) but not their text are not. ``docs`` is a
+    table as read, so that the uid of a row stays the same.
+    """
+    numbered = docs.withColumn("uid", F.monotonically_increasing_id())
+    kept = alike(numbered).groupBy("root").agg(F.min("best").alias("best")).select(F.col("best.uid").alias("uid"))
+    return numbered.join(kept, "uid", "left_semi").select(*docs.columns)

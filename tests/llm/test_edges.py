@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -145,11 +146,54 @@ def test_simhash_brute_force(spark, tmp_path):
 
 def test_large_bucket_is_cut_into_blocks(spark):
     codes = [0] + [1 << i for i in range(60)] + [(1 << i) | (1 << (i + 1)) for i in range(59)]
-    df = spark.createDataFrame([(c,) for c in codes], "fp long")
+    df = spark.createDataFrame([(c, c) for c in codes], "node long, c0 long")
     roots = components.components(simhash.links(df, block=8)).collect()
     assert len(roots) == len(codes) and {r.root for r in roots} == {0}
 
 
+def shingle_set(words, width=5):
+    return {tuple(words[i : i + width]) for i in range(max(1, len(words) - width + 1))}
+
+
+def test_fingerprint_and_sketch_by_definition():
+    rng = random.Random(4)
+    for n in (1, 3, 4, 5, 7, 300, 700):
+        words = [f"w{rng.randrange(50)}" for _ in range(n)]
+        spans = [" ".join(words[i : i + 4]) for i in range(max(1, n - 3))]
+        hashes = [xxhash.xxh64_intdigest(x.encode(), 42) for x in spans]
+        bits = sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+        assert simhash.fingerprint(" ".join(words).encode()) == bits
+    assert simhash.fingerprint(b"") == 0 and not simhash.sketch(b" ").any()
+    assert (simhash.sketch(b"a b c d e f " * 3) == simhash.sketch(b"a b c d e f " * 9)).all()
+
+
+def test_near_copy_stage(spark):
+    """Of each group of texts of similarity 0.85 or more one stays; every text below 0.6 to all others stays."""
+    rng = random.Random(6)
+    shared = [f"p{i}" for i in range(60)]
+    rows, groups = [], {}
+    for g in range(60):
+        base = [f"v{rng.randrange(5000)}" for _ in range(rng.randint(150, 400))]
+        for c in range(1 + g % 5):
+            words = list(base)
+            for _ in range(len(words) // 90 if c else 0):
+                words[rng.randrange(len(words))] = f"z{rng.randrange(10**6)}"
+            assert len(shingle_set(words) & shingle_set(base)) / len(shingle_set(words) | shingle_set(base)) > 0.85
+            groups[len(rows)] = g
+            rows.append((len(rows), " ".join(words)))
+    for k in range(40):
+        groups[len(rows)] = 100 + k
+        rows.append((len(rows), " ".join([f"u{rng.randrange(5000)}" for _ in range(60)] + shared)))
+    rows += [(None, rows[0][1]), (None, "no id"), (None, "nor here"), (7, "another text")]
+    df = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = simhash.stage(df).collect()
+    kept = [r.doc_id for r in got if r.doc_id is not None and r.text != "another text"]
+    first = {g: min(i for i in groups if groups[i] == g) for g in groups.values()}
+    assert sorted(kept) == sorted(first.values())
+    assert sorted(r.text for r in got if r.doc_id is None) == ["no id", "nor here"]
+    assert [r.doc_id for r in got if r.text == "another text"] == [7]
+
+
 def test_components(spark):
     path = [(i, i + 1) for i in range(200)]
     got = components.components(spark.createDataFrame([*path, (500, 501), (501, 500), (7, 7)], "a long, b long")).collect()
