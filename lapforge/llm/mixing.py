@@ -25,6 +25,8 @@ MOST = 2
 #: Rows that one range of an order holds on average.
 RANGE_ROWS = 2_000
 TIMES = 2_048
+#: Steps of virtual time up to which their walk, at most four rows a step, is broadcast; beyond it is joined.
+MOST_SHARED = 65_536
 
 
 def sized(docs: DataFrame) -> DataFrame:
@@ -91,7 +93,7 @@ def take(sizes: DataFrame, goal: DataFrame) -> DataFrame:
     walk = timed.groupBy("step").agg(F.sum("size").alias("words"), F.max("budget").alias("budget"))
     walk = walk.withColumn("start", F.coalesce(F.sum("words").over(Window.orderBy("step").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     walk = walk.filter("start <= budget").select("step", "start", (F.col("start") + F.col("words") <= F.col("budget")).alias("whole"))
-    near = timed.join(F.broadcast(walk), "step")
+    near = timed.join(F.broadcast(walk) if steps <= MOST_SHARED else walk, "step")
     order = Window.partitionBy("step").orderBy("time", "rank", "copy", "key", "doc_id", "size", "uid").rowsBetween(Window.unboundedPreceding, 0)
     last = near.filter("not whole").withColumn("at", F.col("start") + F.sum("size").over(order)).filter("at <= budget")
     chosen = near.filter("whole").select("uid", "size").unionByName(last.select("uid", "size"))
