@@ -9,10 +9,11 @@ tables, each keeping about half of the bits, and no pair is missed.
 
 Two operators use it. ``group`` links fingerprints of 64 bits that differ in at
 most 4. ``alike`` finds texts whose sets of five-word shingles have a similarity
-of 0.8 or more: of a sketch of 512 bits, three parts of 32 bits get 31 tables
-each, so pairs that differ in at most 14 of these 96 bits surely collide (in one
+of 0.8 or more: of a sketch of 512 bits, the first four parts of 32 bits get 31 tables
+each, so pairs that differ in at most 19 of these 128 bits surely collide (in one
 part they differ in at most 4) and most others do; of what collides, 128 bits
-choose the nearest pairs and all 512 decide.
+choose the nearest pairs. All 512 accept a pair, reject it, or, between, leave it
+to the sets of shingles themselves.
 
 Equal fingerprints are one node. A table entry of up to ``BLOCK`` nodes is
 compared in one pass; larger ones are cut into blocks and dealt out by pairs of
@@ -40,11 +41,14 @@ RADIUS = 4
 SHINGLE = 4
 SEED = 42
 BLOCK = 1024
-#: Of the five-word sketch: similarity, lanes of 64 bits, bits that may differ among the first 128 and among all.
+#: Of the five-word sketch: lanes of 64 bits, bits that may differ among the first 128 and among all. At a similarity
+#: of 0.8 some 78 of all bits differ (deviation 8), or 96 for sets of four and five. Up to SURE_ALL none are compared.
 ALIKE_SHINGLE = 5
+SIMILAR = 0.8
 LANES = 8
-NEAR_128 = 31
-NEAR_ALL = 82
+NEAR_128 = 34
+NEAR_ALL = 116
+SURE_ALL = 48
 _SIGN = 1 << 63
 
 
@@ -117,6 +121,17 @@ def sketches(docs: DataFrame, text: str = "text") -> DataFrame:
     return appended(docs, [T.StructField("codes", T.ArrayType(T.LongType()))], work)
 
 
+def shingle_sets(docs: DataFrame, text: str = "text") -> DataFrame:
+    """Add ``shingles``, the hashes of the distinct five-word shingles; empty without words."""
+
+    def work(part: pa.RecordBatch) -> list[pa.Array]:
+        found = [np.unique(_shingles(t.as_py().encode("utf-8", "surrogatepass").lower(), ALIKE_SHINGLE)) for t in texts_of(part, text)]
+        ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
+        return [pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.empty(0, dtype=np.uint64), *found]).view(np.int64)))]
+
+    return appended(docs, [T.StructField("shingles", T.ArrayType(T.LongType()))], work)
+
+
 def _tree(codes: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
     """Spanning forest of the nearest links within ``limit`` (Prim's algorithm)."""
     left = np.arange(1, len(codes))
@@ -261,23 +276,33 @@ def alike(docs: DataFrame) -> DataFrame:
 
     Columns: ``best``, the row that stands for the sketch (least doc_id, nulls
     last, then uid), and ``root``, the same for all sketches that reach each other
-    over links of an estimated similarity of 0.8 or more. Texts with equal sets of
-    shingles share a sketch; texts without words share one too.
+    over links of a similarity of 0.8 or more, which is counted unless sketches
+    are so near that it is surely that high. Texts with equal sets of shingles
+    share a sketch; texts without words share one too.
     """
     found = sketches(docs.select("uid", "doc_id", "text")).select("uid", "doc_id", "codes")
     nodes = found.groupBy("codes").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "uid")).alias("best"))
     nodes = written(nodes.withColumn("node", F.col("best.uid")), "sketches")
-    pairs = links(nodes.select("node", F.col("codes")[0].alias("c0"), F.col("codes")[1].alias("c1")), lanes=2, parts=((0, 0, 32), (0, 32, 32), (1, 0, 32)), limit=NEAR_128)
+    pairs = links(nodes.select("node", F.col("codes")[0].alias("c0"), F.col("codes")[1].alias("c1")), lanes=2, parts=((0, 0, 32), (0, 32, 32), (1, 0, 32), (1, 32, 32)), limit=NEAR_128)
     side = lambda x: nodes.select(F.col("node").alias(x), F.col("codes").alias(f"codes_{x}"))
-    sure = pairs.join(side("a"), "a").join(side("b"), "b").filter(_bits_apart("codes_a", "codes_b") <= NEAR_ALL).select("a", "b")
-    return nodes.join(components(sure), "node", "left").select("best", F.coalesce("root", "node").alias("root"))
+    near = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", _bits_apart("codes_a", "codes_b").alias("apart"))
+    near = written(near.filter(F.col("apart") <= NEAR_ALL), "near")
+    doubtful = near.filter(F.col("apart") > SURE_ALL).select("a", "b")
+    asked = doubtful.select(F.explode(F.array("a", "b")).alias("uid")).distinct()
+    sets = written(shingle_sets(docs.select("uid", "text").join(asked, "uid", "left_semi")).select("uid", "shingles"), "sets")
+    of = lambda x: sets.select(F.col("uid").alias(x), F.col("shingles").alias(f"of_{x}"))
+    met = doubtful.join(of("a"), "a").join(of("b"), "b")
+    met = met.select("a", "b", F.size(F.array_intersect("of_a", "of_b")).alias("common"), (F.size("of_a") + F.size("of_b")).alias("both"))
+    counted = met.filter(F.col("common") / (F.col("both") - F.col("common")) >= SIMILAR)
+    linked = near.filter(F.col("apart") <= SURE_ALL).select("a", "b").unionByName(counted.select("a", "b"))
+    return nodes.join(components(linked), "node", "left").select("best", F.coalesce("root", "node").alias("root"))
 
 
 def stage(docs: DataFrame) -> DataFrame:
     """Keep one document of each group of near copies: the least doc_id, nulls last.
 
-    Near are texts whose sets of five-word shingles have an estimated similarity of
-    0.8 or more (``alike``), directly or by way of others. Repeated rows are copies;
+    Near are texts whose sets of five-word shingles have a similarity of 0.8 or
+    more (``alike``), directly or by way of others. Repeated rows are copies;
     rows that share an id (or have none) but not their text are not. ``docs`` is a
     table as read, so that the uid of a row stays the same.
     """

@@ -194,6 +194,25 @@ def test_near_copy_stage(spark):
     assert [r.doc_id for r in got if r.text == "another text"] == [7]
 
 
+def test_near_copies_at_the_threshold(spark):
+    """Pairs under 0.8 stay; of those from 0.8 on 95 % lose a text, all if both have over 8 shingles and 0.82 or more."""
+    rng = random.Random(8)
+    rows, gone, sure = [], set(), set()
+    for k in range(300):
+        base = [f"q{rng.randrange(10**5)}" for _ in range(rng.choice([8, 9, 14, 60, 300, 900]))]
+        words = base + [f"r{k}.{i}" for i in range(rng.randint(1, max(1, len(base) // 3)))]
+        both = shingle_set(base) & shingle_set(words), shingle_set(base) | shingle_set(words)
+        rows += [(2 * k, " ".join(base)), (2 * k + 1, " ".join(words))]
+        if 5 * len(both[0]) >= 4 * len(both[1]):
+            gone.add(2 * k + 1)
+            if len(both[0]) > 8 and len(both[0]) >= 0.82 * len(both[1]):
+                sure.add(2 * k + 1)
+    df = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = {r.doc_id for r in simhash.stage(df).collect()}
+    assert kept | gone == {i for i, _ in rows} and 60 < len(sure) < len(gone) < 280
+    assert not kept & sure and len(kept & gone) <= 0.05 * len(gone)
+
+
 def test_components(spark):
     path = [(i, i + 1) for i in range(200)]
     got = components.components(spark.createDataFrame([*path, (500, 501), (501, 500), (7, 7)], "a long, b long")).collect()
