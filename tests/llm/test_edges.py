@@ -194,6 +194,14 @@ def test_near_copy_stage(spark):
     assert [r.doc_id for r in got if r.text == "another text"] == [7]
 
 
+def test_mixing_without_broadcast(spark, docs, monkeypatch):
+    """The walk over steps is joined where it may be too large to be shared; the mix is the same."""
+    rows = lambda: sorted(map(repr, registry.QUERIES["op10_mixing"](spark, docs).collect()))
+    shared = rows()
+    monkeypatch.setattr(mixing, "MOST_SHARED", 0)
+    assert rows() == shared
+
+
 def test_near_copies_at_the_threshold(spark):
     """Pairs under 0.8 stay; of those from 0.8 on 95 % lose a text, all if both have over 8 shingles and 0.82 or more."""
     rng = random.Random(8)
