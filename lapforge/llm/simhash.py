@@ -18,7 +18,9 @@ to the sets of shingles themselves.
 Equal fingerprints are one node. A table entry of up to ``BLOCK`` nodes is
 compared in one pass; larger ones are cut into blocks and dealt out by pairs of
 blocks. What leaves a task is a spanning tree of the near nodes of an entry, not
-their pairs.
+their pairs. For fingerprints that is all there is to know. In ``alike`` a link of a
+tree may yet be rejected, so the trees only come first: groups that a rejected link
+leaves apart are compared once more, and all their pairs are decided (``_apart``).
 """
 
 from __future__ import annotations
@@ -49,6 +51,9 @@ LANES = 8
 NEAR_128 = 34
 NEAR_ALL = 116
 SURE_ALL = 48
+#: What the tables of the sketch are built of (lane, first bit, bits), and a power of two that their number doesn't reach.
+PARTS = ((0, 0, 32), (0, 32, 32), (1, 0, 32), (1, 32, 32))
+MOST_TABLES = 128
 _SIGN = 1 << 63
 
 
@@ -174,14 +179,42 @@ def _entry_links(node: np.ndarray, codes: np.ndarray, bounds: np.ndarray, limit:
     return np.concatenate([empty, *froms]), np.concatenate([empty, *tos])
 
 
-def _compare(keys: int, lanes: int, limit: int, block: int | None):  # noqa: ANN202
+def _entry_pairs(rows: pa.Table, bounds: np.ndarray, tables: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs within ``NEAR_ALL`` bits of rows (key, i, j, node, codes, root, own) of unlike roots, each in the first table where it meets."""
+    node, root, own = (rows.column(k).to_numpy() for k in (3, 4 + LANES, 5 + LANES))
+    codes = np.stack([rows.column(4 + k).to_numpy().view(np.uint64) for k in range(LANES)], axis=1)
+    table = rows.column(0).to_numpy() & (MOST_TABLES - 1)
+    one = rows.column(1).to_numpy() == rows.column(2).to_numpy()
+    after = np.repeat(bounds[1:], np.diff(bounds)) - 1 - np.arange(len(node))
+    lane, mask = tables
+    froms, tos = [np.empty(0, dtype=np.int64)], [np.empty(0, dtype=np.int64)]
+    at, shift = np.flatnonzero(after >= 1), 1
+    while len(at):
+        a = at[(root[at] != root[at + shift]) & (one[at] | (own[at] != own[at + shift]))]
+        diff = codes[a] ^ codes[a + shift]
+        some = np.bitwise_count(diff).sum(axis=1, dtype=np.int64) <= NEAR_ALL
+        a, diff = a[some], diff[some]
+        meets = (diff[:, lane] & mask) == 0
+        a = a[meets.any(axis=1) & (meets.argmax(axis=1) == table[a])]
+        froms.append(node[a])
+        tos.append(node[a + shift])
+        shift += 1
+        at = at[after[at] >= shift]
+    return np.concatenate(froms), np.concatenate(tos)
+
+
+def _compare(keys: int, lanes: int, limit: int, block: int | None, tables: tuple[np.ndarray, np.ndarray] | None = None):  # noqa: ANN202
     """Streams rows (keys, node, codes) sorted by keys into rows (a, b, key, codes).
 
     Links have a and b; the nodes of entries of more than ``block`` rows are handed
-    on as they are, with b null. At most an entry of that size is held.
+    on as they are, with b null. At most an entry of that size is held. With
+    ``tables`` links are all pairs, of rows as for ``_entry_pairs``.
     """
 
     def links_of(rows: pa.Table, bounds: np.ndarray) -> tuple[pa.Array, pa.Array]:
+        if tables:
+            a, b = _entry_pairs(rows, bounds, tables)
+            return pa.array(a), pa.array(b)
         codes = np.stack([rows.column(keys + 1 + k).to_numpy().view(np.uint64) for k in range(lanes)], axis=1)
         a, b = _entry_links(rows.column(keys).to_numpy(), codes, bounds, limit)
         return pa.array(a), pa.array(b)
@@ -230,8 +263,7 @@ def links(nodes: DataFrame, lanes: int = 1, parts: tuple[tuple[int, int, int], .
     some part are in one component of the result.
     """
     ready(nodes.sparkSession)
-    signed = lambda m: m - 2 * _SIGN if m >= _SIGN else m
-    tables = [(lane, signed(m << first)) for lane, first, bits in parts for m in masks(radius, bits)]
+    tables = _tables(parts, radius)
     codes = [f"c{k}" for k in range(lanes)]
     keys = F.explode(F.array(*[F.hash(F.lit(k), F.col(f"c{lane}").bitwiseAND(F.lit(m))) for k, (lane, m) in enumerate(tables)]))
     spread = nodes.select(keys.alias("key"), "node", *codes).repartition("key").sortWithinPartitions("key")
@@ -247,6 +279,33 @@ def links(nodes: DataFrame, lanes: int = 1, parts: tuple[tuple[int, int, int], .
     return met.filter("b is not null").select("a", "b").unionByName(more.select("a", "b")).distinct()
 
 
+def _tables(parts: tuple[tuple[int, int, int], ...], radius: int) -> list[tuple[int, int]]:
+    """Lane and mask (as a signed long) of each table."""
+    return [(lane, m - 2 * _SIGN if m >= _SIGN else m) for lane, first, bits in parts for m in (m << first for m in masks(radius, bits))]
+
+
+def _apart(nodes: DataFrame, block: int = BLOCK) -> DataFrame:
+    """(a, b): all pairs of ``nodes`` (node, codes, root) that collide, have unlike roots and differ in at most ``NEAR_ALL`` bits.
+
+    A key ends in the number of its table. Of a part's 16 or 17 bits the hash before it hides none that matter.
+    """
+    ready(nodes.sparkSession)
+    tables = _tables(PARTS, RADIUS)
+    codes = [f"c{k}" for k in range(LANES)]
+    rows = nodes.select("node", *[F.col("codes")[k].alias(c) for k, c in enumerate(codes)], "root")
+    keys = [F.shiftleft(F.hash(F.col(codes[lane]).bitwiseAND(F.lit(m))), MOST_TABLES.bit_length() - 1).bitwiseOR(F.lit(k)) for k, (lane, m) in enumerate(tables)]
+    keyed = rows.withColumn("key", F.explode(F.array(*keys)))
+    some = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("root").alias("least"), F.max("root").alias("most")).filter("least < most")
+    shares = some.select("key", F.ceil(F.col("n") / block).cast("int").alias("parts"))
+    dealt = keyed.join(shares, "key").withColumn("own", F.pmod(F.xxhash64("node", F.lit(7)), F.col("parts")))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts").cast("long") - 1)))
+    dealt = dealt.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", *codes, "root", "own")
+    dealt = dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    shared = np.array([lane for lane, _ in tables]), np.array([m for _, m in tables], dtype=np.int64).view(np.uint64)
+    names = [f"c{k}" for k in range(LANES + 2)]
+    return dealt.mapInArrow(_compare(3, LANES + 2, NEAR_ALL, None, shared), f"a long, b long, key int, {', '.join(f'{c} long' for c in names)}").select("a", "b").distinct()
+
+
 def group(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     """doc_id, fp, component_id: the smallest doc_id that a document reaches over near fingerprints.
 
@@ -283,7 +342,22 @@ def alike(docs: DataFrame) -> DataFrame:
     found = sketches(docs.select("uid", "doc_id", "text")).select("uid", "doc_id", "codes")
     nodes = found.groupBy("codes").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "uid")).alias("best"))
     nodes = written(nodes.withColumn("node", F.col("best.uid")), "sketches")
-    pairs = links(nodes.select("node", F.col("codes")[0].alias("c0"), F.col("codes")[1].alias("c1")), lanes=2, parts=((0, 0, 32), (0, 32, 32), (1, 0, 32), (1, 32, 32)), limit=NEAR_128)
+    pairs = links(nodes.select("node", F.col("codes")[0].alias("c0"), F.col("codes")[1].alias("c1")), lanes=2, parts=PARTS, limit=NEAR_128)
+    pairs = written(pairs, "pairs")
+    first = components(_linked(pairs, nodes, docs))
+    placed = written(nodes.select("node").join(first, "node", "left").select("node", F.coalesce("root", "node").alias("root")), "placed")
+    again = written(_open_roots(pairs, placed), "open")
+    if not again.isEmpty():
+        rest = written(_apart(nodes.select("node", "codes").join(placed.join(again, "root", "left_semi"), "node")), "rest")
+        of = lambda x: placed.select(F.col("node").alias(x), F.col("root").alias(f"root_{x}"))
+        more = _linked(rest, nodes, docs).join(of("a"), "a").join(of("b"), "b").select(F.col("root_a").alias("a"), F.col("root_b").alias("b"))
+        whole = components(more).select(F.col("node").alias("root"), F.col("root").alias("whole"))
+        placed = placed.join(whole, "root", "left").select("node", F.coalesce("whole", "root").alias("root"))
+    return nodes.join(placed, "node").select("best", "root")
+
+
+def _linked(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """Those of the pairs that are near: surely so by their sketches, or counted."""
     side = lambda x: nodes.select(F.col("node").alias(x), F.col("codes").alias(f"codes_{x}"))
     near = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", _bits_apart("codes_a", "codes_b").alias("apart"))
     near = written(near.filter(F.col("apart") <= NEAR_ALL), "near")
@@ -294,8 +368,20 @@ def alike(docs: DataFrame) -> DataFrame:
     met = doubtful.join(of("a"), "a").join(of("b"), "b")
     met = met.select("a", "b", F.size(F.array_intersect("of_a", "of_b")).alias("common"), (F.size("of_a") + F.size("of_b")).alias("both"))
     counted = met.filter(F.col("common") / (F.col("both") - F.col("common")) >= SIMILAR)
-    linked = near.filter(F.col("apart") <= SURE_ALL).select("a", "b").unionByName(counted.select("a", "b"))
-    return nodes.join(components(linked), "node", "left").select("best", F.coalesce("root", "node").alias("root"))
+    return near.filter(F.col("apart") <= SURE_ALL).select("a", "b").unionByName(counted.select("a", "b"))
+
+
+def _open_roots(pairs: DataFrame, placed: DataFrame) -> DataFrame:
+    """Roots of the groups that a rejected link leaves apart from others, unless these are two single nodes and so decided."""
+    of = lambda x: placed.select(F.col("node").alias(x), F.col("root").alias(f"root_{x}"))
+    cross = pairs.join(of("a"), "a").join(of("b"), "b").filter("root_a <> root_b")
+    cross = cross.select(F.col("root_a").alias("root"), F.col("root_b").alias("other")).unionByName(cross.select(F.col("root_b").alias("root"), F.col("root_a").alias("other")))
+    met = cross.groupBy("root").agg((F.min("other") == F.max("other")).alias("one"), F.min("other").alias("other"))
+    lone = placed.groupBy("root").agg((F.count("*") == 1).alias("lone"))
+    met = met.join(lone, "root").select("root", "other", (F.col("one") & F.col("lone")).alias("lone"))
+    decided = met.filter("lone").select("root", "other")
+    back = decided.select(F.col("other").alias("root"), F.col("root").alias("other"))
+    return met.select("root").join(decided.join(back, ["root", "other"], "left_semi"), "root", "left_anti")
 
 
 def stage(docs: DataFrame) -> DataFrame:
