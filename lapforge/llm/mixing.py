@@ -29,10 +29,11 @@ TIMES = 2_048
 MOST_SHARED = 65_536
 
 
-def sized(docs: DataFrame) -> DataFrame:
-    """uid, doc_id, source, size. ``docs`` is a table as read, so that the uid of a row stays the same."""
+def sized(docs: DataFrame, uid: Column | None = None) -> DataFrame:
+    """uid, doc_id, source, size. Rows are numbered here, for this table only, unless a column with their uid is given."""
+    uid = F.monotonically_increasing_id() if uid is None else uid
     size = F.coalesce(F.regexp_count(F.col("text"), F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
-    return docs.select(F.monotonically_increasing_id().alias("uid"), "doc_id", "source", size.alias("size"))
+    return docs.select(uid.alias("uid"), "doc_id", "source", size.alias("size"))
 
 
 def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
@@ -107,10 +108,10 @@ def query(docs: DataFrame) -> DataFrame:
 
 
 def stage(docs: DataFrame) -> DataFrame:
-    """Documents of the mix, each as many times as it is taken."""
-    sizes = written(sized(docs), "sizes")
+    """Documents of the mix, each as many times as it is taken. Rows are numbered once and written."""
+    numbered = written(docs.withColumn("uid", F.monotonically_increasing_id()), "numbered")
+    sizes = written(sized(numbered, F.col("uid")), "sizes")
     copies = take(sizes, targets(sizes)).filter("taken > 0").select("uid", (F.col("taken") / F.col("size")).cast("int").alias("copies"))
-    numbered = docs.withColumn("uid", F.monotonically_increasing_id())
     return numbered.join(copies, "uid").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*docs.columns)
 
 

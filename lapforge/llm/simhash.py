@@ -389,9 +389,9 @@ def stage(docs: DataFrame) -> DataFrame:
 
     Near are texts whose sets of five-word shingles have a similarity of 0.8 or
     more (``alike``), directly or by way of others. Repeated rows are copies;
-    rows that share an id (or have none) but not their text are not. ``docs`` is a
-    table as read, so that the uid of a row stays the same.
+    rows that share an id (or have none) but not their text are not. Rows are
+    numbered once and written, as numbers given anew follow how files are dealt out.
     """
-    numbered = docs.withColumn("uid", F.monotonically_increasing_id())
+    numbered = written(docs.withColumn("uid", F.monotonically_increasing_id()), "numbered")
     kept = alike(numbered).groupBy("root").agg(F.min("best").alias("best")).select(F.col("best.uid").alias("uid"))
     return numbered.join(kept, "uid", "left_semi").select(*docs.columns)

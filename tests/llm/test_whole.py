@@ -25,3 +25,45 @@ def test_pairs_inside_a_family(spark):
     kept = {r.doc_id for r in simhash.stage(df).collect()}
     assert kept | gone == {i for i, _ in rows}
     assert len(kept & gone) <= 1
+
+
+def _renumbering(spark, monkeypatch, module):
+    """Every table written changes how files are packed into partitions from then on."""
+    write, turn = module.written, iter(range(1000))
+
+    def shifting(df, tag):
+        out = write(df, tag)
+        spark.conf.set("spark.sql.files.minPartitionNum", "1" if next(turn) % 2 else "8")
+        return out
+
+    monkeypatch.setattr(module, "written", shifting)
+
+
+def _files(spark, path):
+    rng = random.Random(5)
+    for k in range(8):
+        rows = [(100 * k + i, " ".join(f"x{rng.randrange(10**6)}" for _ in range(rng.randint(20, 60 + 40 * k))), "en", f"s{i % 3}", 1) for i in range(20 + 5 * k)]
+        rows += [(100 * k + 90, rows[3][1], "en", "s0", 1)]
+        spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("append").parquet(path)
+    return spark.read.schema(SCHEMA).parquet(path)
+
+
+def test_near_copies_are_numbered_once(spark, tmp_path, monkeypatch):
+    df = _files(spark, str(tmp_path / "d"))
+    want = {r.doc_id for r in df.collect()} - {100 * k + 90 for k in range(8)}
+    _renumbering(spark, monkeypatch, simhash)
+    try:
+        assert {r.doc_id for r in simhash.stage(df).collect()} == want
+    finally:
+        spark.conf.unset("spark.sql.files.minPartitionNum")
+
+
+def test_mix_is_numbered_once(spark, tmp_path, monkeypatch):
+    df = _files(spark, str(tmp_path / "d"))
+    words = lambda rows: sorted((r.doc_id, r.text) for r in rows)
+    want = words(mixing.stage(df).collect())
+    _renumbering(spark, monkeypatch, mixing)
+    try:
+        assert words(mixing.stage(df).collect()) == want
+    finally:
+        spark.conf.unset("spark.sql.files.minPartitionNum")
