@@ -103,5 +103,12 @@ def appended(df: DataFrame, fields: list[T.StructField], work: Callable[[pa.Reco
     return kept.mapInArrow(run, schema)
 
 
+def window(text: str, chars: int) -> Column:
+    """A text of over ``chars`` characters is cut to as many from a place that its hash chooses; others stay whole."""
+    over = F.length(text) - F.lit(chars)
+    place = F.pmod(F.xxhash64(F.col(text), F.lit(chars)), F.greatest(over, F.lit(0)).cast("long") + 1).cast("int")
+    return F.when(over > 0, F.substring(F.col(text), place + 1, F.lit(chars))).otherwise(F.col(text))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lapforge.llm.common import appended, ready, remainder, texts_of
+from lapforge.llm.common import appended, ready, remainder, texts_of, window
 
 #: Bounds of the training sample.
 TRAIN_DOCS = 160
@@ -143,12 +143,13 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang") -> Model:
     """Learn from rows with text and language.
 
     A bounded sample: of each language (at most ``MOST_LANGUAGES``, the most
-    frequent) the ``TRAIN_DOCS`` texts of up to ``TRAIN_DOC_CHARS`` characters
-    with the smallest hashes, of which ``TRAIN_CHARS`` characters at most are
-    taken (``ALL_CHARS`` over all languages). No labelled text: a model that
-    answers ``und`` for everything.
+    frequent) the ``TRAIN_DOCS`` texts with the smallest hashes, longer ones cut
+    to a window of ``TRAIN_DOC_CHARS`` characters, of which ``TRAIN_CHARS``
+    characters at most are taken (``ALL_CHARS`` over all languages). No labelled
+    text: a model that answers ``und`` for everything.
     """
-    rows = docs.select(F.col(text).alias("text"), F.col(lang).alias("lang")).filter("lang is not null and length(text) between 1 and " + str(TRAIN_DOC_CHARS))
+    rows = docs.select(F.col(text).alias("text"), F.col(lang).alias("lang")).filter("lang is not null and length(text) > 0")
+    rows = rows.withColumn("text", window("text", TRAIN_DOC_CHARS))
     names = sorted(r["lang"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect())
     rows = rows.filter(F.col("lang").isin(names)).withColumn("h", F.xxhash64("text"))
     near = Window.partitionBy("lang", F.pmod(F.shiftright("h", 8), F.lit(SALTS))).orderBy("h", "text")
@@ -210,8 +211,11 @@ def query(docs: DataFrame) -> DataFrame:
 
 
 def stage(docs: DataFrame) -> DataFrame:
-    """Keep the documents in which a language is found; rejected are those without any letter."""
-    return identify(docs, fit(docs)).filter(F.col("lang_pred") != "und").select(*docs.columns)
+    """Reject the documents without any letter: ``und``, or, where no language could be learned, so by their text."""
+    model = fit(docs)
+    if not model.languages:
+        return docs.filter(F.col("text").rlike(r"\p{L}"))
+    return identify(docs, model).filter(F.col("lang_pred") != "und").select(*docs.columns)
 
 
 __all__ = ["Model", "automaton", "fit", "identify", "phrases", "predict_batch", "query", "stage"]

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lapforge.llm.common import appended, ready, remainder, texts_of, words_of
+from lapforge.llm.common import appended, ready, remainder, texts_of, window, words_of
 
 #: Bounds of the training sample.
 TRAIN_DOCS = 1_000
@@ -210,18 +210,18 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     """Learn from ``labels`` (doc_id, toxic) of ``docs`` (doc_id, text).
 
     A bounded sample: of each label the ``TRAIN_DOCS`` ids with the smallest
-    hashes whose texts have at most ``TRAIN_DOC_CHARS`` characters (longer ones
-    are left out of fitting only). Null labels are ignored, of contradicting
-    ones the highest counts. Without both labels every score is constant.
+    hashes among those that have a text; of texts of over ``TRAIN_DOC_CHARS``
+    characters a window is read. Null labels are ignored, of contradicting ones
+    the highest counts. Without both labels every score is constant.
     """
     ids = labels.filter("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-    near = ids.withColumn("h", F.xxhash64("doc_id"))
-    picked = [r for k in (0, 1) for r in near.filter(F.col("toxic") == k).orderBy("h", "doc_id").limit(2 * TRAIN_DOCS).collect()]
+    near = ids.join(docs.filter("text is not null").select("doc_id"), "doc_id", "left_semi").withColumn("h", F.xxhash64("doc_id"))
+    picked = [r for k in (0, 1) for r in near.filter(F.col("toxic") == k).orderBy("h", "doc_id").limit(TRAIN_DOCS).collect()]
     label = {r["doc_id"]: r["toxic"] for r in picked}
     chosen = docs.sparkSession.createDataFrame([(k,) for k in label], "doc_id long")
-    texts = docs.select("doc_id", "text").filter(F.length("text") <= TRAIN_DOC_CHARS).join(F.broadcast(chosen), "doc_id", "left_semi")
+    texts = docs.select("doc_id", window("text", TRAIN_DOC_CHARS).alias("text")).filter("text is not null").join(F.broadcast(chosen), "doc_id", "left_semi")
     rows = texts.groupBy("doc_id").agg(F.min("text").alias("text")).withColumn("h", F.xxhash64("doc_id")).orderBy("h", "doc_id").collect()
-    rows = [r for k in (0, 1) for r in [r for r in rows if label[r["doc_id"]] == k][:TRAIN_DOCS]]
+    rows = [r for k in (0, 1) for r in rows if label[r["doc_id"]] == k]
     words = [_WORD.findall(_lower(r["text"])) for r in rows]
     toxic = [label[r["doc_id"]] == 1 for r in rows]
     return train(words, token_labels(words, toxic), toxic)

@@ -67,3 +67,31 @@ def test_mix_is_numbered_once(spark, tmp_path, monkeypatch):
         assert words(mixing.stage(df).collect()) == want
     finally:
         spark.conf.unset("spark.sql.files.minPartitionNum")
+
+
+EN, FR = "the of and to in is that it was for with as his on be at by", "le de un et il ne je son que se qui ce dans en du elle au"
+
+
+def test_language_of_long_texts(spark):
+    rng = random.Random(2)
+    rows = [(i, " ".join(rng.choices((EN if i % 2 else FR).split(), k=60 if i % 2 else 9_000)), "en" if i % 2 else "fr", "s", 1) for i in range(40)]
+    rows += [(98, "12 !?", "en", "s", 1), (99, None, "fr", "s", 1)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = {r.doc_id: r.lang_pred for r in language.identify(df, language.fit(df)).collect()}
+    assert all(got[i] == ("en" if i % 2 else "fr") for i in range(40)) and got[98] == got[99] == "und"
+    unlabelled = df.withColumn("lang", F.lit(None).cast("string"))
+    assert {r.doc_id for r in language.stage(unlabelled).collect()} == set(range(40))
+
+
+def test_toxicity_of_long_texts(spark):
+    """Long texts are learned from; ids without a text don't use up the sample."""
+    rng = random.Random(4)
+    rows = []
+    for i in range(60):
+        words = rng.choices(EN.split(), k=8_000)
+        if i % 3 == 0:
+            words[::40] = ["vexoid"] * len(words[::40])
+        rows.append((i, " ".join(words), "en", "s", 1))
+    df = spark.createDataFrame(rows, SCHEMA)
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(60)] + [(i, i % 2) for i in range(10**6, 10**6 + 20_000)], "doc_id long, toxic int")
+    assert {r.doc_id for r in toxicity.stage(df, labels).collect()} == {i for i in range(60) if i % 3}
