@@ -95,3 +95,22 @@ def test_toxicity_of_long_texts(spark):
     df = spark.createDataFrame(rows, SCHEMA)
     labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(60)] + [(i, i % 2) for i in range(10**6, 10**6 + 20_000)], "doc_id long, toxic int")
     assert {r.doc_id for r in toxicity.stage(df, labels).collect()} == {i for i in range(60) if i % 3}
+
+
+def test_every_dimension_is_indexed(spark):
+    rng = np.random.default_rng(9)
+    rows = []
+    for dims, n in ((64, 600), (32, 300), (5, 20), (3, 1)):
+        base = rng.normal(size=(n, dims))
+        for v in (base, base + 0.05 * rng.normal(size=(n, dims))):
+            rows += [(len(rows) + k, x.astype("f4").tolist(), 1) for k, x in enumerate(v)]
+    got = {r.vec_id: r.n_links for r in neighbours.link(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")).collect()}
+    for dims in (64, 32, 5, 3):
+        some = [r for r in rows if len(r[1]) == dims]
+        x = np.array([r[1] for r in some])
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        near = x @ x.T >= neighbours.COSINE
+        np.fill_diagonal(near, False)
+        want = near.sum(axis=1)
+        found = np.array([got[r[0]] for r in some])
+        assert (found <= want).all() and want.sum() and found.sum() >= 0.9 * want.sum()
