@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from lapforge.llm import chat, components, language, maxent, mixing, neighbours, packing, registry, sharding, simhash, topk, toxicity
+from lapforge.llm import chat, components, language, mixing, neighbours, packing, registry, sharding, simhash, topk, toxicity
 
 EN, FR = "the of and to in is that it was for with as his on be at by", "le de un et il ne je son que se qui ce dans en du elle au"
 
@@ -375,7 +375,3 @@ def test_pipeline(spark, docs):
     assert 7 not in seen["toxicity"] and 8 in seen["toxicity"]
     assert 306 not in seen["near_copies"] and 1 in seen["near_copies"]
     assert seen["packing"] == seen["mixing"] <= seen["near_copies"]
-
-
-def test_unused_modules():
-    assert mixing.WEIGHTS == (5, 2, 1) and neighbours.COSINE == 0.93 and topk.K == 20 and maxent.CLASSES == 64
