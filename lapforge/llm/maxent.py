@@ -38,9 +38,9 @@ from pyspark.sql import functions as F
 from lapforge.llm.common import ready, remainder, text_slices, texts_of, words_of, written
 
 #: What is broadcast of the vocabulary at most: words, their bytes, and cells of what follows them.
-MOST_WORDS, MOST_BYTES, MOST_CELLS = 200_000, 8_000_000, 4_000_000
+MOST_WORDS, MOST_BYTES, MOST_CELLS = 200_000, 8_000_000, 8_000_000
 LETTERS = 2
-OWN = 1_024
+OWN = 256
 OWN_CLASSES, HASH_CLASSES = 24, 39
 CLASSES = OWN_CLASSES + 1 + HASH_CLASSES
 LEAVES = OWN + 1 + HASH_CLASSES
@@ -54,8 +54,8 @@ UPDATES = 15
 RATE = 0.08
 #: Pseudo-counts of the shared row behind a word's own class row, and of the class behind a word's own leaf row.
 CLASS_PRIOR, LEAF_PRIOR = 6.0, 4.0
-FLUSH = 1_000_000
-SLICE = 1_000_000
+FLUSH = 2_500_000
+SLICE = 2_000_000
 #: Contexts that one task of an update works on.
 TASK_CONTEXTS = 150_000
 _NONE = -40.0
@@ -88,6 +88,7 @@ class Tokens:
     ends: np.ndarray  # bounds of the texts in idx
     idx: np.ndarray  # words only
     words: pa.Array
+    ctx: np.ndarray  # of each distinct word
     doc: np.ndarray
     leaf: np.ndarray
     word: np.ndarray  # place of the previous word in words; -1 at a start
@@ -110,7 +111,7 @@ def _tokens(texts: pa.Array, own: pa.Array) -> Tokens:
     prev = np.concatenate([[START], all_ctx[:-1]])[: n + docs]
     skip = np.concatenate([[START, START], all_ctx[:-2]])[: n + docs]
     skip[first] = START
-    return Tokens(ends, idx, words, all_doc, all_leaf, np.concatenate([[-1], word[:-1]])[: n + docs], prev, skip)
+    return Tokens(ends, idx, words, ctx, all_doc, all_leaf, np.concatenate([[-1], word[:-1]])[: n + docs], prev, skip)
 
 
 def _summed_tables(held: list[pa.Table], keys: list[str]) -> list[pa.RecordBatch]:
@@ -281,7 +282,7 @@ class Model:
     words: pa.Array  # words whose rows are at hand
     seen: np.ndarray  # their training counts
     bounds: np.ndarray  # of their cells
-    leaf: np.ndarray
+    leaf: np.ndarray  # sorted in each word
     n: np.ndarray
 
 
@@ -321,10 +322,8 @@ def _cells_of(model: Model, places: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 
 
 def _hits(row: np.ndarray, leaf: np.ndarray, n: np.ndarray, ask_row: np.ndarray, ask_leaf: np.ndarray) -> np.ndarray:
-    """Counts of the asked (row, leaf) among cells, 0 where there is none."""
-    key = row * LEAVES + leaf
-    order = np.argsort(key, kind="stable")
-    key, n = np.append(key[order], -1), np.append(n[order], 0)
+    """Counts of the asked (row, leaf) among cells sorted by row and leaf, 0 where there is none."""
+    key, n = np.append(row * LEAVES + leaf, -1), np.append(n, 0)
     ask = ask_row * LEAVES + ask_leaf
     at = np.searchsorted(key[:-1], ask)
     return np.where(key[at] == ask, n[at], 0)
@@ -341,7 +340,7 @@ def known_words(follow: DataFrame) -> pa.Table:
     upto = sizes.select("n", *[F.sum(c).over(order).alias(c) for c in ("words", "bytes", "cells")])
     least = upto.filter((F.col("words") <= MOST_WORDS) & (F.col("bytes") <= MOST_BYTES) & (F.col("cells") <= MOST_CELLS)).agg(F.min("n")).first()[0]
     least = 1 << 62 if least is None else least
-    return follow.filter((F.col("n") >= least) | (F.col("word") == "")).toArrow().combine_chunks().sort_by([("n", "descending"), ("word", "ascending")])
+    return follow.filter((F.col("n") >= least) | (F.col("word") == "")).withColumn("cells", F.array_sort("cells")).toArrow().combine_chunks().sort_by([("n", "descending"), ("word", "ascending")])
 
 
 def fit(rows: DataFrame) -> tuple[Model, DataFrame, int, int, int]:
@@ -414,8 +413,7 @@ def score(rows: DataFrame, shared) -> DataFrame:  # noqa: ANN001
                 here = np.flatnonzero((t.word < 0) | (place[t.word] >= 0)) if len(place) else np.arange(len(t.leaf))
                 word = np.where(t.word[here] < 0, len(place), t.word[here])
                 row, leaf, n = _cells_of(model, places)
-                ctx = np.append(np.where((p := _places(t.words, model.own)) >= 0, p, OWN + _crcs(t.words) % HASH_CONTEXTS), START)
-                factors, of = class_rows(model, ctx, row, leaf, n)
+                factors, of = class_rows(model, np.append(t.ctx, START), row, leaf, n)
                 got = token_logs(model, factors, of, word, t.prev[here], t.skip[here], t.leaf[here], _hits(row, leaf, n, word, t.leaf[here]))
                 classes = np.bincount(t.doc[here], weights=got, minlength=docs)
                 rest = np.setdiff1d(np.arange(len(t.leaf)), here, assume_unique=True)
@@ -468,6 +466,8 @@ def _merged(occurrences: DataFrame, follow: DataFrame, shared) -> DataFrame:  #
                 sizes = pc.list_value_length(mine).to_numpy(zero_copy_only=False)
                 entries = mine.flatten()
                 row, leaf, n = np.repeat(some, sizes), entries.field(0).to_numpy(zero_copy_only=False).astype(np.int64), entries.field(1).to_numpy(zero_copy_only=False)
+                order = np.lexsort((leaf, row))
+                row, leaf, n = row[order], leaf[order], n[order]
                 seen = np.zeros(len(words), dtype=np.int64)
                 seen[some] = rows.column("n").to_numpy()[found[some]]
             else:
