@@ -305,11 +305,13 @@ def token_logs(model: Model, factors: np.ndarray, of: np.ndarray, word: np.ndarr
     cls = model.cls[leaf]
     for a in range(0, len(leaf), 32_768):
         s = slice(a, a + 32_768)
-        p = factors[word[s]] * model.skip[skip[s]]
-        p *= model.pair[_pair(prev[s], skip[s])]
+        p = factors[word[s]]
+        p *= model.skip[skip[s]]
+        pair = model.pair[_pair(prev[s], skip[s])]
         at = np.arange(len(p))
         inside = (hit[s] + LEAF_PRIOR * model.share[leaf[s]]) / (of[word[s], cls[s]] + LEAF_PRIOR)
-        out[s] = np.log10(p[at, cls[s]].astype(np.float64) / p.sum(axis=1, dtype=np.float64)) + np.log10(inside)
+        chosen = p[at, cls[s]].astype(np.float64) * pair[at, cls[s]] / np.einsum("ij,ij->i", p, pair)
+        out[s] = np.log10(chosen * inside)
     return out - np.where(leaf == END, 0.0, np.log10(model.mass[leaf]))
 
 
@@ -330,7 +332,7 @@ def _hits(row: np.ndarray, leaf: np.ndarray, n: np.ndarray, ask_row: np.ndarray,
 
 
 def known_words(follow: DataFrame) -> pa.Table:
-    """Rows of the most frequent words within the bounds, by falling count: all with at least the least count that fits.
+    """Rows of the most frequent words within the bounds: all with at least the least count that fits.
 
     The count is found from sums over the words of each count, so no task or driver
     sorts the whole vocabulary. The start is always among them.
@@ -340,7 +342,7 @@ def known_words(follow: DataFrame) -> pa.Table:
     upto = sizes.select("n", *[F.sum(c).over(order).alias(c) for c in ("words", "bytes", "cells")])
     least = upto.filter((F.col("words") <= MOST_WORDS) & (F.col("bytes") <= MOST_BYTES) & (F.col("cells") <= MOST_CELLS)).agg(F.min("n")).first()[0]
     least = 1 << 62 if least is None else least
-    return follow.filter((F.col("n") >= least) | (F.col("word") == "")).withColumn("cells", F.array_sort("cells")).toArrow().combine_chunks().sort_by([("n", "descending"), ("word", "ascending")])
+    return follow.filter((F.col("n") >= least) | (F.col("word") == "")).withColumn("cells", F.array_sort("cells")).toArrow()
 
 
 def fit(rows: DataFrame) -> tuple[Model, DataFrame, int, int, int]:
@@ -373,10 +375,9 @@ def fit(rows: DataFrame) -> tuple[Model, DataFrame, int, int, int]:
     q = seen[1 : 1 + CONTEXTS] + 20 * np.where(exists, (seen[0] + 0.5) / max(1.0, seen[0].sum() + 0.5 * CLASSES), 1e-12)
     follow = gathered.filter("word is not null").select("word", "n", "cells")
     known = known_words(follow)
-    lists = known.column("cells").combine_chunks() if known.num_rows else pa.array([], pa.list_(pa.struct([("leaf", pa.int16()), ("n", pa.float32())])))
-    lists = lists.combine_chunks() if isinstance(lists, pa.ChunkedArray) else lists
+    lists = pa.concat_arrays(known.column("cells").chunks) if known.num_rows else pa.array([], pa.list_(pa.struct([("leaf", pa.int16()), ("n", pa.float32())])))
     entries = lists.flatten()
-    words = pa.array(known.column("word").to_pylist(), pa.string())
+    words = pa.concat_arrays([c.cast(pa.string()) for c in known.column("word").chunks]) if known.num_rows else pa.array([], pa.string())
     model = Model(
         own, cls, np.maximum(mass, 1e-300), share,
         np.exp(weights[0] + weights[1 : 1 + CONTEXTS]).astype(np.float32), np.exp(weights[1 + CONTEXTS : 1 + 2 * CONTEXTS]).astype(np.float32), np.exp(weights[1 + 2 * CONTEXTS :]).astype(np.float32),
@@ -410,13 +411,13 @@ def score(rows: DataFrame, shared) -> DataFrame:  # noqa: ANN001
                 known = np.bincount(own[top], minlength=docs)
                 # rows of the known words, the start's last; others' tokens are left to the merge
                 places = np.append(place, start)
-                here = np.flatnonzero((t.word < 0) | (place[t.word] >= 0)) if len(place) else np.arange(len(t.leaf))
+                mine = (t.word < 0) | (np.append(place, 0)[t.word] >= 0)
+                here, rest = np.flatnonzero(mine), np.flatnonzero(~mine)
                 word = np.where(t.word[here] < 0, len(place), t.word[here])
                 row, leaf, n = _cells_of(model, places)
                 factors, of = class_rows(model, np.append(t.ctx, START), row, leaf, n)
                 got = token_logs(model, factors, of, word, t.prev[here], t.skip[here], t.leaf[here], _hits(row, leaf, n, word, t.leaf[here]))
                 classes = np.bincount(t.doc[here], weights=got, minlength=docs)
-                rest = np.setdiff1d(np.arange(len(t.leaf)), here, assume_unique=True)
                 key = ((t.doc[rest] * max(1, len(place)) + t.word[rest]) * LEAVES + t.leaf[rest]) * CONTEXTS + t.skip[rest]
                 key, times = np.unique(key, return_counts=True)
                 key, skip = np.divmod(key, CONTEXTS)
