@@ -54,8 +54,8 @@ UPDATES = 15
 RATE = 0.08
 #: Pseudo-counts of the shared row behind a word's own class row, and of the class behind a word's own leaf row.
 CLASS_PRIOR, LEAF_PRIOR = 6.0, 4.0
-FLUSH = 2_500_000
-SLICE = 2_000_000
+FLUSH = 1_200_000
+SLICE = 1_000_000
 #: Contexts that one task of an update works on.
 TASK_CONTEXTS = 150_000
 _NONE = -40.0
@@ -120,6 +120,7 @@ def _summed_tables(held: list[pa.Table], keys: list[str]) -> list[pa.RecordBatch
         return []
     total = pa.concat_tables(held).group_by(keys).aggregate([("n", "sum")])
     held.clear()
+    pa.default_memory_pool().release_unused()
     return total.select([*keys, "n_sum"]).rename_columns([*keys, "n"]).combine_chunks().to_batches(max_chunksize=100_000)
 
 
