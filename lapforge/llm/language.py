@@ -21,13 +21,13 @@ from pyspark.sql import types as T
 
 from lapforge.llm.common import appended, ready, remainder, texts_of, window
 
-#: Bounds of the training sample.
+#: Bounds of the training sample: texts a language, characters a language, of one text, and of all languages.
 TRAIN_DOCS = 160
 TRAIN_CHARS = 30_000
 TRAIN_DOC_CHARS = 20_000
-MOST_LANGUAGES = 64
 ALL_CHARS = 600_000
-ALPHABET = 60
+#: Letters that each language tells apart, its most frequent ones; all others are one symbol to it.
+ALPHABET = 250
 SALTS = 16
 #: A phrase begins anew at each block of a text, so that all blocks are parsed side by side.
 BLOCK = 256
@@ -37,7 +37,8 @@ BLANK, OTHER = 0, 1
 @dataclass
 class Model:
     languages: list[str]
-    letters: dict[str, int]
+    letters: dict[str, int]  # of all languages
+    own: list[np.ndarray]  # code of each of these letters in a language
     tables: list[np.ndarray]
     bits: list[float]
 
@@ -46,10 +47,10 @@ _code_cache: dict[int, np.ndarray] = {}
 
 
 def _codes_table(letters: dict[str, int]) -> np.ndarray:
-    """Code of each code point: blank, a letter of the alphabet, or another letter."""
+    """Code of each code point: blank, a letter of any sample, or another letter."""
     key = hash(tuple(sorted(letters.items())))
     if key not in _code_cache:
-        out = np.zeros(0x110000, dtype=np.uint8)
+        out = np.zeros(0x110000, dtype=np.int32)
         for cp in range(0x110000):
             c = chr(cp)
             if c.isalpha():
@@ -140,38 +141,44 @@ def phrases(codes: np.ndarray, ends: np.ndarray, table: np.ndarray, size: int) -
 
 
 def fit(docs: DataFrame, text: str = "text", lang: str = "lang") -> Model:
-    """Learn from rows with text and language.
+    """Learn from rows with text and language; every language that has a labelled letter is learned.
 
-    A bounded sample: of each language (at most ``MOST_LANGUAGES``, the most
-    frequent) the ``TRAIN_DOCS`` texts with the smallest hashes, longer ones cut
-    to a window of ``TRAIN_DOC_CHARS`` characters, of which ``TRAIN_CHARS``
-    characters at most are taken (``ALL_CHARS`` over all languages). No labelled
+    A bounded sample: of each language up to ``TRAIN_DOCS`` texts with the smallest
+    hashes, longer ones cut to a window of ``TRAIN_DOC_CHARS`` characters, of which
+    ``TRAIN_CHARS`` characters at most are taken, fewer where ``ALL_CHARS`` would be
+    passed over all languages. Each language has an alphabet of its own. No labelled
     text: a model that answers ``und`` for everything.
     """
     rows = docs.select(F.col(text).alias("text"), F.col(lang).alias("lang")).filter("lang is not null and length(text) > 0")
     rows = rows.withColumn("text", window("text", TRAIN_DOC_CHARS))
-    names = sorted(r["lang"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect())
-    rows = rows.filter(F.col("lang").isin(names)).withColumn("h", F.xxhash64("text"))
-    near = Window.partitionBy("lang", F.pmod(F.shiftright("h", 8), F.lit(SALTS))).orderBy("h", "text")
-    picked = rows.withColumn("rank", F.row_number().over(near)).filter(F.col("rank") <= TRAIN_DOCS // SALTS).select("lang", "h", "text").collect()
+    names = sorted(r["lang"] for r in rows.select("lang").distinct().collect())
+    most = max(1, min(TRAIN_CHARS, ALL_CHARS // max(1, len(names))))
+    rows = rows.withColumn("h", F.xxhash64("text")).withColumn("salt", F.pmod(F.shiftright("h", 8), F.lit(SALTS)))
+    near = Window.partitionBy("lang", "salt").orderBy("h", "text")
+    some = rows.withColumn("rank", F.row_number().over(near)).filter(F.col("rank") <= TRAIN_DOCS // SALTS)
+    before = F.sum(F.length("text")).over(near.rowsBetween(Window.unboundedPreceding, -1))
+    picked = some.withColumn("before", F.coalesce(before, F.lit(0))).filter(F.col("before") < most).select("lang", "h", "text").collect()
     texts: dict[str, list[str]] = {n: [] for n in names}
     for r in sorted(picked, key=lambda r: (r["h"], r["text"])):
         if r["text"] not in texts[r["lang"]][-1:]:
             texts[r["lang"]].append(r["text"])
-    count: dict[str, int] = {}
-    for c in (c for ts in texts.values() for t in ts for c in t.lower() if c.isalpha()):
-        count[c] = count.get(c, 0) + 1
-    letters = {c: k + 2 for k, c in enumerate(sorted(count, key=lambda c: (-count[c], c))[: ALPHABET - 2])}
-    size, tables, bits, kept = len(letters) + 2, [], [], []
-    most = min(TRAIN_CHARS, ALL_CHARS // max(1, len(names)))
+    letters = {c: k + 2 for k, c in enumerate(sorted({c for ts in texts.values() for t in ts for c in t.lower() if c.isalpha()}))}
+    own, tables, bits, kept = [], [], [], []
     for n in names:
         codes, _ = _encode(pa.array([" ".join(texts[n]) or " "]), letters)
+        codes = codes[:most]
         if len(codes):
+            count = np.bincount(codes, minlength=len(letters) + 2)
+            count[:2] = 0
+            first = np.lexsort((np.arange(len(count)), -count))[: min(ALPHABET, int((count > 0).sum()))]
+            mine = np.full(len(count), OTHER, dtype=np.uint8)
+            mine[first] = np.arange(2, len(first) + 2)
+            mine[BLANK] = BLANK
             kept.append(n)
-            codes = codes[:most]
-            tables.append(automaton(codes, size))
+            own.append(mine)
+            tables.append(automaton(mine[codes], len(first) + 2))
             bits.append(float(np.log2(len(codes) + 1)))
-    return Model(kept, letters, tables, bits)
+    return Model(kept, letters, own, tables, bits)
 
 
 def predict_batch(texts: pa.Array, model: Model) -> tuple[pa.Array, np.ndarray]:
@@ -181,7 +188,7 @@ def predict_batch(texts: pa.Array, model: Model) -> tuple[pa.Array, np.ndarray]:
     none = lettered[ends[1:]] == lettered[ends[:-1]]
     if not model.languages:
         return pa.array(["und"] * len(texts), pa.string()), np.zeros(len(texts))
-    cost = np.stack([phrases(codes, ends, t, len(model.letters) + 2) * b for t, b in zip(model.tables, model.bits, strict=True)], axis=1)
+    cost = np.stack([phrases(m[codes], ends, t, int(m.max()) + 1 if (m > OTHER).any() else 2) * b for m, t, b in zip(model.own, model.tables, model.bits, strict=True)], axis=1)
     best = cost.argmin(axis=1)
     share = np.exp2(-(cost - cost.min(axis=1, keepdims=True)) / 4)
     score = np.where(none, 0.0, 1 / share.sum(axis=1))

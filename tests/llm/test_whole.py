@@ -114,3 +114,38 @@ def test_every_dimension_is_indexed(spark):
         want = near.sum(axis=1)
         found = np.array([got[r[0]] for r in some])
         assert (found <= want).all() and want.sum() and found.sum() >= 0.9 * want.sum()
+
+
+def test_languages_and_letters_without_a_cap(spark):
+    """Eighty languages of four scripts, each with some letters of its own, are all learned and told apart."""
+    rng = random.Random(6)
+    rows, names = [], [f"l{k:02d}" for k in range(80)]
+    for k, n in enumerate(names):
+        base = (ord("a"), 0x430, 0x3B1, 0x4E00)[k % 4]
+        own = [chr(base + (3 * k + j) % (26 if base < 0x100 else 24 if base < 0x1000 else 900)) for j in range(4)] + [chr(0x5000 + 4 * k + j) for j in range(4)]
+        rows += [(100 * k + i, " ".join("".join(rng.choices(own, k=5)) for _ in range(30)), n, "s", 1) for i in range(4)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    model = language.fit(df.filter("doc_id % 100 < 3"))
+    assert model.languages == names
+    got = {r.doc_id: (r.lang, r.lang_pred) for r in language.identify(df, model).collect()}
+    assert sum(a == b for a, b in got.values()) >= 0.97 * len(got)
+
+
+def test_predictions_by_definition(spark):
+    """Phrases counted by plain search in the learned text give the same language."""
+    rng = random.Random(12)
+    rows = [(i, " ".join(rng.choices((EN if i % 2 else FR).split(), k=rng.randint(1, 30))), "en" if i % 2 else "fr", "s", 1) for i in range(60)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    model = language.fit(df)
+    learned = {n: t[: language.TRAIN_CHARS] for n in ("en", "fr") for t in [" ".join(r[1] for r in rows if r[2] == n)]}
+    same = 0
+    for r in language.identify(df, model).collect():
+        cost = {}
+        for n, bits in zip(model.languages, model.bits, strict=True):
+            count, at, text = 1, 0, r.text[:256]
+            for k in range(len(text)):
+                if text[at : k + 1] not in learned[n]:
+                    count, at = count + 1, k
+            cost[n] = count * bits
+        same += min(cost, key=lambda n: (cost[n], n)) == r.lang_pred
+    assert same >= 58
