@@ -30,12 +30,16 @@ def ready(spark: SparkSession) -> None:
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
     if root not in paths:
         env["PYTHONPATH"] = os.pathsep.join([root, *paths])
+    # freed arrays go back to the system at once, so that workers that are used again don't keep the peaks of former tasks
+    env.setdefault("MALLOC_MMAP_THRESHOLD_", "4194304")
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; one of our own only where it is unset."""
+    """The folder in ``spark.checkpoint.dir``; one of our own only where it is unset and the session is local."""
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         where = tempfile.mkdtemp(prefix="spark-shared-")
         spark.conf.set("spark.checkpoint.dir", where)
     return where

@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from lapforge.llm.common import ready, remainder, text_slices, texts_of, words_of, written
 
 #: What is broadcast of the vocabulary at most: words, their bytes, and cells of what follows them.
-MOST_WORDS, MOST_BYTES, MOST_CELLS = 200_000, 8_000_000, 8_000_000
+MOST_WORDS, MOST_BYTES, MOST_CELLS = 100_000, 4_000_000, 6_000_000
 LETTERS = 2
 OWN = 256
 OWN_CLASSES, HASH_CLASSES = 24, 39
@@ -319,9 +319,10 @@ def token_logs(model: Model, factors: np.ndarray, of: np.ndarray, word: np.ndarr
 def _cells_of(model: Model, places: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Cells (row, leaf, n) of the words at ``places``; rows follow places, -1 has none."""
     sizes = np.where(places >= 0, model.bounds[places + 1] - model.bounds[places], 0)
-    row = np.repeat(np.arange(len(places)), sizes)
-    at = np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + np.repeat(model.bounds[np.maximum(places, 0)], sizes)
-    return row, model.leaf[at].astype(np.int64), model.n[at]
+    row = np.repeat(np.arange(len(places), dtype=np.int32), sizes)
+    at = np.arange(len(row))
+    at += np.repeat(model.bounds[np.maximum(places, 0)] - (np.cumsum(sizes) - sizes), sizes)
+    return row, model.leaf[at].astype(np.int32), model.n[at]
 
 
 def _hits(row: np.ndarray, leaf: np.ndarray, n: np.ndarray, ask_row: np.ndarray, ask_leaf: np.ndarray) -> np.ndarray:
@@ -401,7 +402,8 @@ def score(rows: DataFrame, shared) -> DataFrame:  # noqa: ANN001
         logs = np.log10(model.seen + 0.5)
         start = int(_places(pa.array([""], pa.string()), model.words)[0])
         for batch in batches:
-            for part in text_slices(batch, chars=SLICE):
+            pa.default_memory_pool().release_unused()
+            for part in text_slices(batch, chars=SLICE // 2):
                 docs = part.num_rows
                 t = _tokens(texts_of(part), model.own)
                 place = _places(t.words, model.words)
