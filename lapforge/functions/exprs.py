@@ -71,7 +71,8 @@ def duration_seconds(text: Column) -> Column:
 
 
 def decade(season: Column) -> Column:
-    return (F.expr("0") + season - F.pmod(season, F.lit(10))).cast("int")
+    """First year of a season's decade; truncates towards zero, so the Unknown season -1 is in decade 0."""
+    return (season - season % 10).cast("int")
 
 
 def ratio(part: Column, whole: Column, digits: int = 4) -> Column:
@@ -87,7 +88,7 @@ def value_kind(value: Column) -> Column:
     """Observed type of a JSON value given as text from a variant's schema and content."""
     kind = F.schema_of_variant(value)
     text = F.try_variant_get(value, "$", "string")
-    number, date, time = text.rlike(r"^-?[0-9]+(\.[0-9]+)?$"), text.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"), text.rlike(r"^[0-9]{2}:[0-9]{2}:[0-9]{2}Z?$")
+    number, date, time = text.rlike(r"^-?[0-9]+(\.[0-9]+)?$"), text.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"), text.rlike(r"^[0-9]{1,2}:[0-9]{2}(:[0-9]{2}(\.[0-9]+)?)?Z?$")
     return (
         F.when(value.isNull() | (kind == "VOID"), "null").when(kind == "BOOLEAN", "bool").when(kind == "BIGINT", "int")
         .when(kind.rlike("^(DECIMAL|DOUBLE|FLOAT)"), "float").when(kind.startswith("ARRAY"), "list").when(kind.startswith("OBJECT"), "dict")

@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import re
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lapforge.functions.exprs import value_kind, variant
 
+#: Distinct values of a field that are listed at most, and its samples.
+MOST_VALUES, SAMPLES = 30, 3
+_DDL = {"OBJECT": "STRUCT", "VOID": "STRING", "VARIANT": "STRING"}
+
 
 def _lists(kind: T.DataType, path: str = "") -> list[str]:
     """Dotted paths of lists of objects in a schema; ``[]`` marks a list on the way."""
@@ -18,30 +24,53 @@ def _lists(kind: T.DataType, path: str = "") -> list[str]:
     return []
 
 
+def _depth(kind: T.DataType) -> int:
+    """Containers within each other in a schema."""
+    if isinstance(kind, T.StructType):
+        return 1 + max((_depth(f.dataType) for f in kind), default=0)
+    return 1 + _depth(kind.elementType) if isinstance(kind, T.ArrayType) else 0
+
+
 def infer(docs: DataFrame, column: str = "value") -> T.StructType:
     """Schema of the JSON documents in ``column``, merged over all of them; nulls count as text."""
     shape = docs.agg(F.schema_of_variant_agg(variant(column))).first()[0] or "OBJECT<>"
-    ddl = shape.replace("OBJECT<", "STRUCT<").replace("VOID", "STRING").replace("VARIANT", "STRING")
+    # a name ends in a colon; only types are translated
+    ddl = re.sub(r"(`(?:[^`]|``)*`|\w+)(\s*:)?", lambda m: m[0] if m[2] else _DDL.get(m[1], m[1]), shape)
     kind = T.DataType.fromDDL(ddl)
     return kind if isinstance(kind, T.StructType) else T.StructType()
 
 
+def _field(record: Column, path: str) -> Column:
+    for name in path.strip(".").split("."):
+        record = record.getField(name)
+    return record
+
+
 def collect_records(docs: DataFrame, schema: T.StructType, path: str, column: str = "value") -> DataFrame:
     """One row (``record``) for each object in the lists at ``path``."""
     rows = docs.select(F.from_json(column, schema).alias("record"))
     for part in path.split("[]"):
-        rows = rows.select(F.explode(F.col("record" + ("" if part.startswith(".") else ".") + part)).alias("record"))
+        rows = rows.select(F.explode(_field(F.col("record"), part)).alias("record"))
     return rows.filter("record is not null")
 
 
+def _objects(record: Column, parts: list[str]) -> Column:
+    """Number of objects in the lists at a path in one record."""
+    inside = F.coalesce(_field(record, parts[0]), F.array())
+    if len(parts) == 1:
+        return F.size(F.filter(inside, lambda x: x.isNotNull())).cast("long")
+    return F.aggregate(inside, F.lit(0).cast("long"), lambda n, x: n + _objects(x, parts[1:]))
+
+
 def record_lists(docs: DataFrame, column: str = "value") -> DataFrame:
-    """path, records: every list of objects in the corpus with the number of its objects."""
+    """path, records: every list of objects in the corpus with the number of its objects, counted in one pass."""
     schema = infer(docs, column)
-    counts = [collect_records(docs, schema, p, column).agg(F.lit(p).alias("path"), F.count("*").alias("records")) for p in _lists(schema)]
-    out = docs.sparkSession.createDataFrame([], "path string, records long")
-    for c in counts:
-        out = out.unionByName(c)
-    return out
+    paths = _lists(schema)
+    if not paths:
+        return docs.sparkSession.createDataFrame([], "path string, records long")
+    rows = docs.select(F.from_json(column, schema).alias("record"))
+    counts = rows.agg(*[F.coalesce(F.sum(_objects(F.col("record"), p.split("[]"))), F.lit(0)).alias(f"n{k}") for k, p in enumerate(paths)])
+    return counts.select(F.explode(F.array(*[F.struct(F.lit(p).alias("path"), F.col(f"n{k}").alias("records")) for k, p in enumerate(paths)])).alias("x")).select("x.*")
 
 
 def grain_path(lists: DataFrame, expected: int) -> DataFrame:
@@ -53,20 +82,45 @@ def grain_path(lists: DataFrame, expected: int) -> DataFrame:
 
 
 def flatten(rows: DataFrame, record_id: str, json: str) -> DataFrame:
-    """record_id, path, value (variant): all fields of JSON objects, containers included, two levels deep."""
-    fields = rows.select(record_id, F.explode(F.try_variant_get(variant(json), "$", "map<string,variant>")).alias("path", "value"))
-    inner = fields.filter(F.schema_of_variant("value").startswith("OBJECT")).select(record_id, F.col("path").alias("outer"), F.explode(F.try_variant_get("value", "$", "map<string,variant>")).alias("path", "value"))
-    return fields.unionByName(inner.select(record_id, F.concat_ws(".", "outer", "path").alias("path"), "value"))
+    """record_id, path, value (variant): all fields of JSON objects at any depth, containers included.
+
+    ``[]`` in a path marks a list whose objects are descended into; items of a list
+    that aren't objects have no path of their own. As many steps as the corpus is
+    deep, in one pass; each adds the children of what the step before added.
+    """
+    now = rows.select(record_id, F.lit("").alias("path"), variant(json).alias("value"), F.lit(True).alias("fresh"), F.lit(True).alias("item"))
+    row = lambda path, value, fresh, item: F.struct(path.alias("path"), value.alias("value"), F.lit(fresh).alias("fresh"), item.alias("item"))
+    for _ in range(_depth(infer(rows, json))):
+        path = F.col("path")
+        fields = F.transform(
+            F.map_entries(F.try_variant_get("value", "$", "map<string,variant>")),
+            lambda e: row(F.when(F.col("path") == "", e["key"]).otherwise(F.concat_ws(".", F.col("path"), e["key"])), e["value"], True, F.lit(False)),
+        )
+        items = F.transform(F.try_variant_get("value", "$", "array<variant>"), lambda x: row(F.concat(F.col("path"), F.lit("[]")), x, True, F.lit(True)))
+        own = F.array(row(path, F.col("value"), False, F.col("item")))
+        added = F.when(F.col("fresh"), F.coalesce(fields, items))
+        now = now.select(record_id, F.explode(F.when(added.isNull(), own).otherwise(F.concat(own, added))).alias("x")).select(record_id, "x.*")
+    return now.filter(~F.col("item")).select(record_id, "path", "value")
 
 
 def profile_fields(flat: DataFrame, record_id: str, records: int) -> DataFrame:
-    """Per path: records and share that have it, occurrences, null or empty, types, samples, distinct values if 30 at most."""
+    """Per path: records and share that have it, occurrences, null or empty, types, samples, values if few.
+
+    ``samples`` are the smallest ``SAMPLES`` values, ``distinct_values`` all of them if
+    there are ``MOST_VALUES`` at most, else null; only these leave the ranking. Containers,
+    nulls and empty texts are no values.
+    """
     seen = flat.withColumn("kind", value_kind(F.col("value"))).withColumn("text", F.try_variant_get("value", "$", "string"))
     by_value = seen.groupBy("path", "kind", "text").agg(F.count("*").alias("n"))
-    values = by_value.groupBy("path").agg(F.sum("n").alias("occurrences"), F.sum(F.when(F.col("kind").isin("null", "empty-string"), F.col("n")).otherwise(0)).alias("null_or_empty"), F.array_join(F.array_sort(F.collect_set("kind")), ",").alias("types"), F.count_distinct("text").alias("distinct_values"), F.min("text").alias("sample"))
+    empty = F.col("kind").isin("null", "empty-string")
+    counts = by_value.groupBy("path").agg(F.sum("n").alias("occurrences"), F.sum(F.when(empty, F.col("n")).otherwise(0)).alias("null_or_empty"), F.array_join(F.array_sort(F.collect_set("kind")), ",").alias("types"))
+    texts = by_value.filter(~empty & ~F.col("kind").isin("dict", "list")).select("path", "text").distinct()
+    first = texts.withColumn("rank", F.row_number().over(Window.partitionBy("path").orderBy("text"))).filter(F.col("rank") <= MOST_VALUES + 1)
+    values = first.groupBy("path").agg(F.array_sort(F.collect_list("text")).alias("v"))
+    values = values.select("path", F.slice("v", 1, SAMPLES).alias("samples"), F.when(F.size("v") <= MOST_VALUES, F.col("v")).alias("distinct_values"))
     share = F.round(F.col("present_in_records").cast("decimal(18,4)") * 100 / F.lit(records), 1).cast("decimal(9,1)")
     present = seen.select("path", record_id).distinct().groupBy("path").agg(F.count("*").alias("present_in_records"))
-    return present.join(values, "path").withColumn("present_pct", share)
+    return present.join(counts, "path").join(values, "path", "left").withColumn("present_pct", share)
 
 
 def casting_flags(profile: DataFrame) -> DataFrame:

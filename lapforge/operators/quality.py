@@ -62,12 +62,13 @@ def final_rounds(races: DataFrame, first_season: int) -> DataFrame:
     return known.groupBy("season").agg(F.bool_and("has_been_run").alias("done"), F.max("round").alias("round")).filter((F.col("season") >= first_season) & F.col("done")).select("season", "round")
 
 
-def standings_reconcile(standings: DataFrame, results: DataFrame, sprints: DataFrame, races: DataFrame, first_season: int = 1991) -> DataFrame:
+def standings_reconcile(standings: DataFrame, results: DataFrame, sprints: DataFrame, races: DataFrame, first_season: int = 1991, how: str = "left") -> DataFrame:
+    """Official final standings that results and sprints don't add up to; ``how="full"``: also points without a standing."""
     last = final_rounds(races, first_season)
     official = standings.join(last, ["season", "round"], "left_semi").select("season", "driver_key", F.col("points").alias("value"))
     scored = results.select("season", "driver_key", "points").unionByName(sprints.select("season", "driver_key", "points"))
     derived = scored.join(last.select("season"), "season", "left_semi").groupBy("season", "driver_key").agg(F.sum("points").alias("value"))
-    return reconcile(official, derived, ["season", "driver_key"])
+    return reconcile(official, derived, ["season", "driver_key"], how)
 
 
 def status_counts(results: DataFrame, statuses: DataFrame) -> DataFrame:
@@ -80,7 +81,30 @@ def drift(races: DataFrame, seasons: DataFrame) -> DataFrame:
     return races.select("season").distinct().join(seasons.select("season"), "season", "left_anti")
 
 
-def suite(spark: SparkSession, checks: dict[str, tuple[str, DataFrame]]) -> DataFrame:
-    """One row a check (name -> (severity, offenders)): failing rows and whether it passed."""
-    rows = [d.agg(F.lit(n).alias("name"), F.lit(s).alias("severity"), F.count("*").alias("failing")) for n, (s, d) in checks.items()]
-    return reduce(DataFrame.unionByName, rows).withColumn("passed", F.col("failing") == 0)
+def suite(spark: SparkSession, checks: dict[str, tuple[str, DataFrame]], needs: dict[str, list[str]] | None = None) -> DataFrame:
+    """One row a check (name -> (severity, offenders)): failing rows, whether it passed, whether it was skipped.
+
+    A check whose ``needs`` name one that failed as an error, or was skipped, is
+    skipped itself: its failing rows are null and it hasn't passed.
+    """
+    one = lambda n: checks[n][1].agg(F.lit(n).alias("name"), F.lit(checks[n][0]).alias("severity"), F.count("*").alias("failing"))
+    needs = {n: needs[n] for n in checks if needs and needs.get(n)}
+    left, stopped, done, parts = list(checks), set(), set(), []
+    while left:
+        now = [n for n in left if set(needs.get(n, [])) <= done]
+        if not now:
+            raise ValueError(f"checks need each other or unknown ones: {left}")
+        run = [n for n in now if not stopped & set(needs.get(n, []))]
+        if run:
+            found = reduce(DataFrame.unionByName, map(one, run))
+            if needs:
+                rows = [(r["name"], r["severity"], r["failing"]) for r in found.collect()]
+                stopped |= {n for n, severity, failing in rows if failing and severity == "error"}
+                found = spark.createDataFrame(rows, "name string, severity string, failing long")
+            parts.append(found.withColumn("skipped", F.lit(False)))
+        if skipped := [(n, checks[n][0], None, True) for n in now if n not in run]:
+            stopped |= {n for n, *_ in skipped}
+            parts.append(spark.createDataFrame(skipped, "name string, severity string, failing long, skipped boolean"))
+        done |= set(now)
+        left = [n for n in left if n not in done]
+    return reduce(DataFrame.unionByName, parts).withColumn("passed", F.coalesce(F.col("failing") == 0, F.lit(False)))

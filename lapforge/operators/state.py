@@ -22,14 +22,24 @@ def unresolved(letters: DataFrame, entity: str | None = None) -> DataFrame:
 
 
 def advance_checkpoints(known: DataFrame, pages: DataFrame, now: Column) -> DataFrame:
-    """Checkpoints (entity, scope) after pages (entity, scope, offset, limit, total); started_at is kept."""
-    seen = pages.groupBy("entity", "scope").agg(F.max(F.col("offset") + F.col("limit")).alias("next_offset"), F.max("total").alias("total_expected"))
+    """Checkpoints (entity, scope) after pages (entity, scope, offset, limit, total); started_at is kept.
+
+    A scope advances to its first gap only, from where it stood: a page that is lost
+    leaves it in progress, so that the resume plan returns to it.
+    """
+    keys = ["entity", "scope"]
+    old = known.select(*keys, *[F.col(c).alias(f"_{c}") for c in ("next_offset", "total_expected", "status", "started_at", "updated_at")])
+    placed = pages.join(old.select(*keys, F.col("_next_offset").alias("stood")), keys, "left").withColumn("stood", F.coalesce("stood", F.lit(0)))
+    end = F.col("offset") + F.greatest(F.col("limit"), F.lit(0))
+    upto = Window.partitionBy(*keys).orderBy("offset").rowsBetween(Window.unboundedPreceding, -1)
+    placed = placed.withColumn("reached", F.greatest("stood", F.coalesce(F.max(end).over(upto), F.lit(0))))
+    gap = F.min(F.when(F.col("offset") > F.col("reached"), F.col("reached")))
+    seen = placed.groupBy(*keys).agg(F.coalesce(gap, F.greatest(F.max("stood"), F.max(end))).alias("next_offset"), F.max("total").alias("total_expected"))
     done = (F.col("next_offset") >= F.col("total_expected")) | (F.col("total_expected") == 0)
     seen = seen.withColumn("status", F.when(done, "complete").otherwise("in_progress"))
-    old = known.select("entity", "scope", *[F.col(c).alias(f"_{c}") for c in ("next_offset", "total_expected", "status", "started_at", "updated_at")])
-    both = old.join(seen, ["entity", "scope"], "full")
+    both = old.join(seen, keys, "full")
     pick = [F.coalesce(c, f"_{c}").alias(c) for c in ("next_offset", "total_expected", "status")]
-    return both.select("entity", "scope", *pick, F.coalesce("_started_at", now).alias("started_at"), F.when(F.col("status").isNotNull(), now).otherwise(F.col("_updated_at")).alias("updated_at"))
+    return both.select(*keys, *pick, F.coalesce("_started_at", now).alias("started_at"), F.when(F.col("status").isNotNull(), now).otherwise(F.col("_updated_at")).alias("updated_at"))
 
 
 def pending_scopes(wanted: DataFrame, checkpoints: DataFrame) -> DataFrame:
@@ -63,11 +73,15 @@ def usage(log: DataFrame, now: Column, seconds: int = 3600) -> DataFrame:
 def usage_series(log: DataFrame, budget: int, seconds: int = 3600, by: tuple[str, ...] = ()) -> DataFrame:
     """Calls in the window that ends at each call (its far edge excluded), and whether they exceed the budget.
 
-    With ``by`` each group has its own window and the work spreads over the groups.
+    With ``by`` each group has its own window. The log is cut into blocks of one window's
+    length; each is counted with the block before it, so no task holds the whole log.
     """
-    at = F.unix_micros("called_at")
-    back = Window.partitionBy(*by).orderBy(at).rangeBetween(-(seconds * 1_000_000 - 1), 0)
-    return log.withColumn("calls", F.count("*").over(back)).withColumn("over_budget", F.col("calls") > budget)
+    span = seconds * 1_000_000
+    at = log.withColumn("_at", F.unix_micros("called_at")).withColumn("_block", F.floor(F.col("_at") / F.lit(span)))
+    both = at.withColumn("_own", F.lit(True)).unionByName(at.withColumns({"_block": F.col("_block") + 1, "_own": F.lit(False)}))
+    back = Window.partitionBy(*by, "_block").orderBy("_at").rangeBetween(-(span - 1), 0)
+    out = both.withColumn("calls", F.count("*").over(back)).filter("_own").drop("_at", "_block", "_own")
+    return out.withColumn("over_budget", F.col("calls") > budget)
 
 
 def usage_by_entity(log: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lapforge.functions.exprs import decade as decade_of
 from lapforge.functions.exprs import ratio
 
 STARTER = "status_category <> 'withdrawn_or_dns'"
@@ -16,41 +17,57 @@ def _last_round(standings: DataFrame, season: int | None = None) -> DataFrame:
     return rows.agg(F.max_by("season", F.struct("season", "round")).alias("season"), F.max_by("round", F.struct("season", "round")).alias("round"))
 
 
-def championship_progression(standings: DataFrame, drivers: DataFrame, season: int, top_n: int = 5) -> DataFrame:
+def _categorised(results: DataFrame, statuses: DataFrame) -> DataFrame:
+    """Results with the category of their status."""
+    return results.join(statuses.select("status_key", "status_category"), "status_key")
+
+
+def championship_progression(standings: DataFrame, drivers: DataFrame, races: DataFrame, season: int, top_n: int = 5) -> DataFrame:
     """Running points of those who end the season in the top n."""
     year = standings.filter(F.col("season") == season)
-    final = year.join(_last_round(standings, season), ["season", "round"]).filter(F.col("championship_position") <= top_n).select("driver_key", F.col("championship_position").alias("final_position"))
-    return year.join(final, "driver_key").join(drivers.select("driver_key", "full_name"), "driver_key").select("round", F.col("full_name").alias("driver"), "points", "final_position").orderBy("final_position", "round")
+    final = year.join(_last_round(standings, season), ["season", "round"]).filter(F.col("championship_position") <= top_n)
+    final = final.select("driver_key", F.col("championship_position").alias("final_position"))
+    named = year.join(final, "driver_key").join(drivers.select("driver_key", "full_name"), "driver_key")
+    named = named.join(races.select("season", "round", F.col("race_name").alias("race")), ["season", "round"])
+    return named.select("round", "race", F.col("full_name").alias("driver"), "points", "final_position").orderBy("final_position", "round")
 
 
-def reliability_by_era(results: DataFrame) -> DataFrame:
+def reliability_by_era(results: DataFrame, statuses: DataFrame) -> DataFrame:
     """Retirements per start by decade; those who didn't start count in neither half."""
-    by = results.filter(STARTER).groupBy((F.col("season") - F.pmod("season", F.lit(10))).cast("int").alias("decade"))
+    by = _categorised(results, statuses).filter(STARTER).groupBy(decade_of(F.col("season")).alias("decade"))
     out = by.agg(F.count("*").alias("starts"), F.count_if(~F.col("is_classified")).alias("dnfs"))
     return out.withColumn("dnf_rate", ratio(F.col("dnfs"), F.col("starts"))).orderBy("decade")
 
 
-def why_cars_retire(results: DataFrame, decade: int | None = None) -> DataFrame:
-    rows = results.filter(STARTER).filter(~F.col("is_classified"))
-    if decade is not None:
-        rows = rows.filter(F.col("season").between(decade, decade + 9))
+def why_cars_retire(results: DataFrame, statuses: DataFrame, decade: int | None = None) -> DataFrame:
+    """Causes of retirements and their shares, of all seasons or of a decade."""
+    rows = results if decade is None else results.filter(F.col("season").between(decade, decade + 9))
+    rows = _categorised(rows, statuses).filter(STARTER).filter(~F.col("is_classified"))
     out = rows.groupBy(F.col("status_category").alias("cause")).agg(F.count("*").alias("retirements"))
-    return out.withColumn("share", ratio(F.col("retirements"), F.sum("retirements").over(Window.partitionBy()))).orderBy(F.desc("retirements"), "cause")
+    share = ratio(F.col("retirements"), F.sum("retirements").over(Window.partitionBy()))
+    return out.withColumn("share", share).orderBy(F.desc("retirements"), "cause")
 
 
 def grid_vs_finish(results: DataFrame, drivers: DataFrame, min_races: int = 100, top_n: int = 15) -> DataFrame:
-    rows = results.filter("positions_gained is not null").groupBy("driver_key").agg(F.count("*").alias("races_counted"), F.sum("positions_gained").alias("g"), F.sum("grid_position").alias("s"), F.max("positions_gained").alias("best_single_race"))
-    named = rows.filter(F.col("races_counted") >= min_races).join(drivers.select("driver_key", "full_name"), "driver_key")
+    """Drivers who gain most positions, by mean over the races that count; the Unknown driver is none of them."""
+    gained = results.filter("positions_gained is not null").groupBy("driver_key")
+    rows = gained.agg(F.count("*").alias("races_counted"), F.sum("positions_gained").alias("g"), F.sum("grid_position").alias("s"), F.max("positions_gained").alias("best_single_race"))
+    known = drivers.filter("not is_unknown").select("driver_key", "full_name")
+    named = rows.filter(F.col("races_counted") >= min_races).join(known, "driver_key")
     mean = lambda c, d: F.round(F.col(c).cast("decimal(18,6)") / F.col("races_counted").cast("decimal(18,6)"), d).cast(f"decimal(18,{d})")
     out = named.select(F.col("full_name").alias("driver"), "races_counted", mean("g", 2).alias("avg_positions_gained"), mean("s", 1).alias("avg_grid"), "best_single_race")
     return out.orderBy(F.desc("avg_positions_gained"), "driver").limit(top_n)
 
 
 def data_freshness(report: DataFrame, as_of: Column) -> DataFrame:
-    """Ages in hours of the last run, call and change, and progress as 'x of y'."""
-    age = lambda c: F.round((F.unix_micros(as_of) - F.unix_micros(c)).cast("decimal(24,6)") / F.lit(3_600_000_000), 1).cast("decimal(18,1)")
+    """When the pipeline ran, data changed and models were built; progress as 'x of y'."""
+    age = F.round((F.unix_micros(as_of) - F.unix_micros("last_ingestion_at")).cast("decimal(24,6)") / F.lit(3_600_000_000), 1).cast("decimal(18,1)")
     progress = F.concat(F.col("rounds_run").cast("string"), F.lit(" of "), F.col("rounds_scheduled").cast("string"))
-    return report.select("season", progress.alias("rounds"), *[age(c).alias(f"hours_since_{n}") for c, n in (("last_ingestion_at", "run"), ("last_api_call_at", "call"), ("last_data_change_at", "change"))], "last_race_date", "next_race_date", "failed_scopes", "unfinished_scopes", "api_calls_last_hour", "model_built_at")
+    return report.select(
+        "season", progress.alias("season_progress"), F.col("last_race_date").alias("last_race"), F.col("next_race_date").alias("next_race"),
+        F.col("last_ingestion_at").alias("pipeline_last_ran"), age.alias("hours_since_run"), F.col("last_data_change_at").alias("data_last_changed"),
+        "failed_scopes", "unfinished_scopes", "api_calls_last_hour", F.col("model_built_at").alias("models_last_built"),
+    )
 
 
 def driver_standings_current(standings: DataFrame, drivers: DataFrame, constructors: DataFrame) -> DataFrame:
@@ -71,8 +88,11 @@ def calendar_growth(races: DataFrame) -> DataFrame:
 
 
 def circuit_map(races: DataFrame, circuits: DataFrame) -> DataFrame:
-    held = races.filter("has_been_run and not is_unknown").groupBy("circuit_key").agg(F.count("*").alias("races_held"), F.min("season").alias("first_season"), F.max("season").alias("last_season"))
-    return held.join(circuits.filter("not is_unknown").select("circuit_key", "circuit_name"), "circuit_key").select("circuit_name", "races_held", "first_season", "last_season")
+    """Races run at each known circuit, and where it lies."""
+    held = races.filter("has_been_run and not is_unknown").groupBy("circuit_key")
+    held = held.agg(F.count("*").alias("races_held"), F.min("season").alias("first_season"), F.max("season").alias("last_season"))
+    place = circuits.filter("not is_unknown").select("circuit_key", F.col("circuit_name").alias("circuit"), "locality", "country", "latitude", "longitude")
+    return held.join(place, "circuit_key").select("circuit", "locality", "country", "latitude", "longitude", "races_held", "first_season", "last_season").orderBy(F.desc("races_held"), "circuit")
 
 
 def duels(a: DataFrame, b: DataFrame, on: list[str]) -> DataFrame:
@@ -129,10 +149,10 @@ def finishing_order(results: DataFrame, race_key: object) -> DataFrame:
     return results.filter(F.col("race_key") == race_key).select("classified_position", "driver_key", "is_classified", "points").orderBy("classified_position")
 
 
-def scoring_rates(results: DataFrame, by: list[str], podium: int = 3) -> DataFrame:
+def scoring_rates(results: DataFrame, statuses: DataFrame, by: list[str], podium: int = 3) -> DataFrame:
     """Wins and podiums per start, points per race."""
     at = lambda k: F.count_if(F.col("is_classified") & (F.col("classified_position") <= k))
-    out = results.filter(STARTER).groupBy(*by).agg(F.count("*").alias("starts"), at(1).alias("wins"), at(podium).alias("podiums"), F.sum("points").alias("p"))
+    out = _categorised(results, statuses).filter(STARTER).groupBy(*by).agg(F.count("*").alias("starts"), at(1).alias("wins"), at(podium).alias("podiums"), F.sum("points").alias("p"))
     return out.select(*by, "starts", ratio(F.col("wins"), F.col("starts")).alias("win_rate"), ratio(F.col("podiums"), F.col("starts")).alias("podium_rate"), ratio(F.col("p"), F.col("starts")).alias("points_per_race"))
 
 
@@ -141,8 +161,8 @@ def constructor_points(results: DataFrame) -> DataFrame:
     return out.withColumn("rank", F.rank().over(Window.partitionBy("season").orderBy(F.desc("points"))))
 
 
-def outcomes(results: DataFrame, by: str) -> DataFrame:
-    return results.groupBy(by, "status_category").agg(F.count("*").alias("entries"), F.count_if("is_classified").alias("classified"))
+def outcomes(results: DataFrame, statuses: DataFrame, by: str) -> DataFrame:
+    return _categorised(results, statuses).groupBy(by, "status_category").agg(F.count("*").alias("entries"), F.count_if("is_classified").alias("classified"))
 
 
 def pole_to_win(results: DataFrame) -> DataFrame:

@@ -114,17 +114,20 @@ def fct_constructor_standings(standings: DataFrame, races: DataFrame, constructo
 
 
 def rpt_pipeline_freshness(races: DataFrame, results: DataFrame, checkpoints: DataFrame, calls: DataFrame, as_of: Column) -> DataFrame:
-    """One row, always: progress of the latest season and ages of the last run, call and change."""
+    """One row, always: progress of the latest season, run or not, and times of the last run, call and change."""
     known = races.filter("not is_unknown")
-    season = known.filter("has_been_run").agg(F.max("season").alias("season"))
-    day = F.to_date(as_of)
-    year = season.join(known.withColumnRenamed("season", "s"), F.col("season") == F.col("s"), "left").groupBy("season").agg(
-        F.count_if("has_been_run").alias("rounds_run"), F.count("s").alias("rounds_scheduled"), F.max(F.when(F.col("race_date") <= day, F.col("race_date"))).alias("last_race_date"), F.min(F.when(F.col("race_date") > day, F.col("race_date"))).alias("next_race_date")
-    )
-    marks = checkpoints.agg(F.max("updated_at").alias("last_ingestion_at"), F.count_if(F.col("status") == "failed").alias("failed_scopes"), F.count_if(F.col("status") == "in_progress").alias("unfinished_scopes"))
+    run = F.col("has_been_run")
+    latest = known.agg(F.max("season").alias("season"))
+    year = latest.join(known.withColumnRenamed("season", "s"), F.col("season") == F.col("s"), "left").groupBy("season").agg(
+        F.count_if(run).alias("rounds_run"), F.count("s").alias("rounds_scheduled"),
+        F.max(F.when(run, F.col("race_date"))).alias("last_race_date"), F.min(F.when(~run, F.col("race_date"))).alias("next_race_date"),
+    )
+    scopes = lambda status: F.count_if(F.col("status") == status)
+    marks = checkpoints.agg(F.max("updated_at").alias("last_ingestion_at"), scopes("failed").alias("failed_scopes"), scopes("in_progress").alias("unfinished_scopes"))
     hour = F.unix_micros("called_at") > F.unix_micros(as_of) - 3_600_000_000
     used = calls.agg(F.max("called_at").alias("last_api_call_at"), F.count_if(hour).alias("api_calls_last_hour"))
-    changed = results.agg(F.max("updated_at").alias("last_data_change_at"))
+    changed = results.agg(F.max(F.greatest("ingested_at", "updated_at")).alias("last_data_change_at"))
     return year.crossJoin(marks).crossJoin(used).crossJoin(changed).select(
-        "season", "rounds_run", "rounds_scheduled", "last_race_date", "next_race_date", "last_ingestion_at", "last_api_call_at", "last_data_change_at", "failed_scopes", "unfinished_scopes", "api_calls_last_hour", as_of.alias("model_built_at"),
+        "season", "rounds_run", "rounds_scheduled", "last_race_date", "next_race_date", "last_ingestion_at", "last_api_call_at",
+        "last_data_change_at", "failed_scopes", "unfinished_scopes", "api_calls_last_hour", as_of.alias("model_built_at"),
     )

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 @dataclass(frozen=True)
 class EntitySpec:
-    """``container``: dotted path of the outer list; ``child``: list inside its elements;
+    """``scope``: what one request covers (global, season or race); ``container``: dotted path of the outer list; ``child``: list inside its elements;
     ``lifted``: fields of the outer element; ``keys``: column -> dotted path in the record."""
 
     name: str
@@ -26,8 +26,8 @@ def _flat(name: str, box: str, key: str, path: str) -> EntitySpec:
     return EntitySpec(name, "global", f"MRData.{box}", ((key, path),))
 
 
-def _raced(name: str, child: str, *more: tuple[str, str], box: str = "RaceTable.Races") -> EntitySpec:
-    return EntitySpec(name, "race", f"MRData.{box}", (("season", "season"), ("round", "round"), *more), child, ("season", "round"))
+def _raced(name: str, scope: str, child: str, *more: tuple[str, str], box: str = "RaceTable.Races") -> EntitySpec:
+    return EntitySpec(name, scope, f"MRData.{box}", (("season", "season"), ("round", "round"), *more), child, ("season", "round"))
 
 
 _DRIVER = ("driver_id", "Driver.driverId")
@@ -41,12 +41,12 @@ ENTITIES: dict[str, EntitySpec] = {
         _flat("drivers", "DriverTable.Drivers", "driver_id", "driverId"),
         _flat("constructors", "ConstructorTable.Constructors", "constructor_id", "constructorId"),
         _flat("status", "StatusTable.Status", "status_id", "statusId"),
-        EntitySpec("races", "season", "MRData.RaceTable.Races", (("season", "season"), ("round", "round"))),
-        _raced("results", "Results", _DRIVER),
-        _raced("qualifying", "QualifyingResults", _DRIVER),
-        _raced("sprint", "SprintResults", _DRIVER),
-        _raced("pitstops", "PitStops", ("driver_id", "driverId"), ("stop", "stop")),
-        _raced("driver_standings", "DriverStandings", _DRIVER, box=_STANDINGS),
-        _raced("constructor_standings", "ConstructorStandings", ("constructor_id", "Constructor.constructorId"), box=_STANDINGS),
+        EntitySpec("races", "global", "MRData.RaceTable.Races", (("season", "season"), ("round", "round"))),
+        _raced("results", "season", "Results", _DRIVER),
+        _raced("qualifying", "season", "QualifyingResults", _DRIVER),
+        _raced("sprint", "season", "SprintResults", _DRIVER),
+        _raced("pitstops", "race", "PitStops", ("driver_id", "driverId"), ("stop", "stop")),
+        _raced("driver_standings", "race", "DriverStandings", _DRIVER, box=_STANDINGS),
+        _raced("constructor_standings", "race", "ConstructorStandings", ("constructor_id", "Constructor.constructorId"), box=_STANDINGS),
     )
 }

@@ -1,11 +1,15 @@
-"""Landing zone: deterministic keys, idempotent writes, scoped reads, page audit."""
+"""Landing zone: deterministic keys, idempotent writes page by page, scoped reads, page audit."""
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lapforge.functions.exprs import txt, variant
+from lapforge.sources.entities import EntitySpec
+
+PAGE = "entity string, ingestion_date date, scope string, offset int, value string, source_key string"
 
 
 def scope_label(season: Column | None = None, round_: Column | None = None) -> Column:
@@ -14,23 +18,44 @@ def scope_label(season: Column | None = None, round_: Column | None = None) -> C
         return F.lit("all")
     if round_ is None:
         return F.concat(F.lit("season="), season.cast("string"))
-    return F.concat(F.lit("season="), season.cast("string"), F.lit("_round="), F.lpad(round_.cast("string"), 2, "0"))
+    return F.concat(F.lit("season="), season.cast("string"), F.format_string("_round=%02d", round_.cast("int")))
+
+
+def spec_label(spec: EntitySpec, season: Column | None = None, round_: Column | None = None) -> Column:
+    """Label of one request of an entity, by its scope: a season or round that the scope doesn't have is ignored."""
+    if spec.scope == "global":
+        return scope_label()
+    return scope_label(season, round_ if spec.scope == "race" else None)
 
 
 def lake_key(entity: Column, label: Column, offset: Column, day: Column) -> Column:
-    name = F.concat(entity, F.lit("_"), label, F.lit("_offset="), F.lpad(offset.cast("string"), 5, "0"), F.lit(".json"))
+    """Key of a page; offsets have five digits at least, more where they need them."""
+    name = F.concat(entity, F.lit("_"), label, F.format_string("_offset=%05d.json", offset.cast("long")))
     return F.concat_ws("/", entity, day.cast("string"), name)
 
 
 def land_pages(pages: DataFrame, root: str) -> None:
-    """Write pages (entity, ingestion_date, scope, offset, value); landing a page again replaces it, another day adds one."""
+    """Write pages (entity, ingestion_date, scope, offset, value), a folder each.
+
+    Landing a page again replaces it and leaves the other pages of its scope alone;
+    another day adds one.
+    """
     key = lake_key(F.col("entity"), F.col("scope"), F.col("offset"), F.col("ingestion_date"))
-    (pages.withColumn("source_key", key).write.partitionBy("entity", "ingestion_date", "scope").option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(root))
+    (pages.withColumn("source_key", key).write.partitionBy("entity", "ingestion_date", "scope", "offset").option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(root))
 
 
 def read_lake(spark: SparkSession, root: str, entity: str, day: str, season: int | None = None, round_: int | None = None) -> DataFrame:
-    """Landed pages of an entity and day; without a round, every round of the season. Only those folders are read."""
-    pages = spark.read.parquet(root).filter((F.col("entity") == entity) & (F.col("ingestion_date").cast("string") == day))
+    """Landed pages of an entity and day; without a round, every round of the season.
+
+    Only the folder of the entity and day is listed; scopes prune what is read of it.
+    Nothing landed: no rows.
+    """
+    try:
+        pages = spark.read.schema(PAGE).option("basePath", root).parquet(f"{root}/entity={entity}/ingestion_date={day}")
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return spark.createDataFrame([], PAGE)
     if season is not None:
         label = f"season={season}" + ("" if round_ is None else f"_round={round_:02d}")
         exact = F.col("scope") == label
@@ -38,11 +63,12 @@ def read_lake(spark: SparkSession, root: str, entity: str, day: str, season: int
     return pages
 
 
-def page_meta(pages: DataFrame, value: str = "value") -> DataFrame:
-    """Add total, limit, offset as ints; text that is none gets 0, -1 and 0."""
+def page_meta(pages: DataFrame, value: str = "value", limit: Column | None = None, offset: Column | None = None) -> DataFrame:
+    """Add total, limit, offset as ints. Text that is none gets 0, the requested limit (-1 if not given) and offset (0)."""
     doc = variant(value)
-    number = lambda name, default: F.coalesce(txt(doc, f"MRData.{name}").try_cast("int"), F.lit(default))
-    return pages.withColumns({"total": number("total", 0), "limit": number("limit", -1), "offset": number("offset", 0)})
+    number = lambda name, default: F.coalesce(txt(doc, f"MRData.{name}").try_cast("int"), default)
+    asked = {"limit": F.lit(-1) if limit is None else limit, "offset": F.lit(0) if offset is None else offset}
+    return pages.withColumns({"total": number("total", F.lit(0)), **{name: number(name, default) for name, default in asked.items()}})
 
 
 def audit_pages(pages: DataFrame, by: list[str]) -> DataFrame:

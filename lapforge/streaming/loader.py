@@ -1,53 +1,125 @@
-"""Incremental load: a file stream over the landing folder, merged batch by batch into versions of a raw table."""
+"""Incremental load: a file stream over the landing folder, merged batch by batch into a raw table.
+
+A raw table lies in ``root/raw``. Its rows are dealt into buckets by a hash of their
+keys; a batch writes new versions of the buckets that it touches and leaves the others
+alone, and never overwrites what it reads: batch n reads versions below n only, so a
+batch that is tried again gives the same table. What couldn't be loaded goes to
+``root/dead_letters``, counts to ``root/outcomes``.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lapforge.operators.extract import extract, parse_objects
 from lapforge.operators.merge import dedupe_last, merge
+from lapforge.operators.state import failures
 from lapforge.sources.entities import ENTITIES
+from lapforge.sources.lake import PAGE
 
-PAGE = "entity string, ingestion_date date, scope string, offset int, value string, source_key string"
+BUCKETS = 32
+_LETTERS = "id string, entity string, source_key string, error_detail string, fragment string, failed_at timestamp, resolved_at timestamp, batch long"
+_OUTCOMES = "parsed long, inserted long, updated long, failed long, batch long"
 
 
-def latest(spark: SparkSession, root: str, entity: str) -> DataFrame:
-    """Newest version of a raw table; empty before the first load."""
-    keys = ", ".join(f"{k} string" for k in ENTITIES[entity].grain)
-    schema = f"{keys}, payload string, source_key string, ingested_at timestamp, updated_at timestamp, version long"
+def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A table in versions; empty before the first is written."""
     try:
-        all_versions = spark.read.schema(schema).parquet(root)
-        newest = all_versions.agg(F.max("version")).first()[0]
-    except Exception as e:  # the folder isn't there yet
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
         if "PATH_NOT_FOUND" not in str(e):
             raise
-        return spark.createDataFrame([], schema).drop("version")
-    return all_versions.filter(F.col("version") == newest).drop("version")
+        return spark.createDataFrame([], schema)
+
+
+def _versions(spark: SparkSession, root: str, entity: str) -> DataFrame:
+    keys = ", ".join(f"{k} string" for k in ENTITIES[entity].grain)
+    return _read(spark, f"{root}/raw", f"{keys}, payload string, source_key string, ingested_at timestamp, updated_at timestamp, last_action string, version long, bucket int")
+
+
+def _bucket(keys: list[str]) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int")
+
 
+def _newest(spark: SparkSession, root: str, entity: str, below: int | None = None) -> DataFrame:
+    """Rows of the newest version of each bucket, with ``bucket``."""
+    rows = _versions(spark, root, entity)
+    rows = rows if below is None else rows.filter(F.col("version") < below)
+    newest = rows.groupBy("bucket").agg(F.max("version").alias("version"))
+    return rows.join(newest, ["bucket", "version"], "left_semi").drop("version", "last_action")
 
-def load(spark: SparkSession, pages: DataFrame, raw_root: str, entity: str, version: int) -> None:
-    """Merge pages into the raw table as a new version; the version that is read is never overwritten."""
+
+def latest(spark: SparkSession, root: str, entity: str) -> DataFrame:
+    """The raw table as it is now; empty before the first load."""
+    return _newest(spark, root, entity).drop("bucket")
+
+
+def load(spark: SparkSession, pages: DataFrame, root: str, entity: str, batch: int) -> None:
+    """Merge pages into the raw table as version ``batch``, record dead letters and the outcome."""
     spec = ENTITIES[entity]
-    docs, _ = parse_objects(pages)
-    records, _ = extract(spec, docs)
-    last = dedupe_last(records, spec.grain, ["source_key", "pos"])
-    merged = merge(latest(spark, raw_root, entity), last, spec.grain, F.current_timestamp())
-    merged.drop("_action").write.mode("overwrite").parquet(f"{raw_root}/version={version}")
+    docs, unread = parse_objects(pages)
+    records, unkeyed = extract(spec, docs)
+    records.write.mode("overwrite").parquet(f"{root}/parsed/batch={batch}")
+    records = spark.read.schema(records.schema).parquet(f"{root}/parsed/batch={batch}")
+    failures(unread.unionByName(unkeyed), entity, F.current_timestamp()).write.mode("overwrite").parquet(f"{root}/dead_letters/batch={batch}")
+    last = dedupe_last(records, spec.grain, ["source_key", "pos"]).withColumn("bucket", _bucket(spec.grain))
+    touched = [r[0] for r in last.select("bucket").distinct().collect()]
+    if touched:
+        target = _newest(spark, root, entity, batch).filter(F.col("bucket").isin(touched))
+        merged = merge(target.drop("bucket"), last.drop("bucket"), spec.grain, F.current_timestamp())
+        merged = merged.withColumnRenamed("_action", "last_action").withColumn("bucket", _bucket(spec.grain))
+        merged.write.mode("overwrite").partitionBy("bucket").parquet(f"{root}/raw/version={batch}")
+    mine = _versions(spark, root, entity).filter(F.col("version") == batch)
+    counts = [mine.agg(*[F.count_if(F.col("last_action") == a).alias(f"{a}ed" if a == "insert" else f"{a}d") for a in ("insert", "update")])]
+    counts += [records.agg(F.count("*").alias("parsed")), dead_letters(spark, root, batch).agg(F.count("*").alias("failed"))]
+    one = reduce(DataFrame.crossJoin, counts)
+    one.select("parsed", "inserted", "updated", "failed").write.mode("overwrite").parquet(f"{root}/outcomes/batch={batch}")
+
+
+def outcomes(spark: SparkSession, root: str) -> DataFrame:
+    """parsed, inserted, updated, failed of each batch; rows that stayed as they were count in parsed only."""
+    return _read(spark, f"{root}/outcomes", _OUTCOMES)
+
+
+def dead_letters(spark: SparkSession, root: str, batch: int | None = None) -> DataFrame:
+    """What couldn't be loaded, of one batch, or of all: then each failure once, as it was first met."""
+    rows = _read(spark, f"{root}/dead_letters", _LETTERS)
+    if batch is not None:
+        return rows.filter(F.col("batch") == batch)
+    first = Window.partitionBy("id").orderBy("batch", "failed_at")
+    return rows.withColumn("_rank", F.row_number().over(first)).filter("_rank = 1").drop("_rank")
+
+
+def drop_replaced(spark: SparkSession, root: str, entity: str, keep: int = 2) -> int:
+    """Delete versions of buckets that at least ``keep`` newer ones replace; how many were deleted."""
+    newer = Window.partitionBy("bucket").orderBy(F.desc("version"))
+    have = _versions(spark, root, entity).select("bucket", "version").distinct()
+    old = have.withColumn("rank", F.row_number().over(newer)).filter(F.col("rank") > keep).collect()
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for r in old:
+        path = jvm.org.apache.hadoop.fs.Path(f"{root}/raw/version={r['version']}/bucket={r['bucket']}")
+        path.getFileSystem(conf).delete(path, True)
+    return len(old)
 
 
-def stream_load(spark: SparkSession, lake_root: str, raw_root: str, entity: str, checkpoint: str) -> None:
+def stream_load(spark: SparkSession, lake_root: str, root: str, entity: str, checkpoint: str) -> None:
     """Load what has landed since the last call, and stop. Running it again without new pages changes nothing."""
     pages = spark.readStream.schema(PAGE).parquet(lake_root).filter(F.col("entity") == entity)
 
     def each(batch: DataFrame, number: int) -> None:
-        load(spark, batch, raw_root, entity, number + 1)
+        load(spark, batch, root, entity, number + 1)
 
     pages.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
-def replay(spark: SparkSession, pages: DataFrame, raw_root: str, entity: str) -> None:
-    """Rebuild a raw table from everything that has landed, day after day."""
+def replay(spark: SparkSession, pages: DataFrame, root: str, entity: str) -> None:
+    """Rebuild a raw table from everything that has landed, day after day, in a root that holds none yet."""
+    if not _versions(spark, root, entity).isEmpty():
+        raise ValueError(f"{root} holds a raw table already; rebuild in another folder")
     days = [r[0] for r in pages.select("ingestion_date").distinct().orderBy("ingestion_date").collect()]
     for k, day in enumerate(days):
-        load(spark, pages.filter(F.col("ingestion_date") == day), raw_root, entity, k + 1)
+        load(spark, pages.filter(F.col("ingestion_date") == day), root, entity, k + 1)
