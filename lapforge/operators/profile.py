@@ -31,9 +31,16 @@ def _depth(kind: T.DataType) -> int:
     return 1 + _depth(kind.elementType) if isinstance(kind, T.ArrayType) else 0
 
 
+def _shape(docs: DataFrame, column: str) -> str:
+    return docs.agg(F.schema_of_variant_agg(variant(column))).first()[0] or "OBJECT<>"
+
+
 def infer(docs: DataFrame, column: str = "value") -> T.StructType:
-    """Schema of the JSON documents in ``column``, merged over all of them; nulls count as text."""
-    shape = docs.agg(F.schema_of_variant_agg(variant(column))).first()[0] or "OBJECT<>"
+    """Schema of the JSON documents in ``column``, merged over all of them; nulls and mixed values count as text."""
+    return _schema(_shape(docs, column))
+
+
+def _schema(shape: str) -> T.StructType:
     # a name ends in a colon; only types are translated
     ddl = re.sub(r"(`(?:[^`]|``)*`|\w+)(\s*:)?", lambda m: m[0] if m[2] else _DDL.get(m[1], m[1]), shape)
     kind = T.DataType.fromDDL(ddl)
@@ -86,18 +93,22 @@ def flatten(rows: DataFrame, record_id: str, json: str) -> DataFrame:
 
     ``[]`` in a path marks a list whose objects are descended into; items of a list
     that aren't objects have no path of their own. As many steps as the corpus is
-    deep, in one pass; each adds the children of what the step before added.
+    deep, in one pass; each adds the children of what the step before added. Where
+    values of unlike kinds share a place, steps go on until nothing is left to open.
     """
+    shape = _shape(rows, json)
+    depth, step = _depth(_schema(shape)), 0
+    closed = F.coalesce(~F.schema_of_variant("value").rlike("^(OBJECT|ARRAY)"), F.lit(True))
     now = rows.select(record_id, F.lit("").alias("path"), variant(json).alias("value"), F.lit(True).alias("fresh"), F.lit(True).alias("item"))
     row = lambda path, value, fresh, item: F.struct(path.alias("path"), value.alias("value"), F.lit(fresh).alias("fresh"), item.alias("item"))
-    for _ in range(_depth(infer(rows, json))):
-        path = F.col("path")
+    while step < depth or ("VARIANT" in shape and not now.filter(F.col("fresh") & ~closed).isEmpty()):
+        step += 1
         fields = F.transform(
             F.map_entries(F.try_variant_get("value", "$", "map<string,variant>")),
             lambda e: row(F.when(F.col("path") == "", e["key"]).otherwise(F.concat_ws(".", F.col("path"), e["key"])), e["value"], True, F.lit(False)),
         )
         items = F.transform(F.try_variant_get("value", "$", "array<variant>"), lambda x: row(F.concat(F.col("path"), F.lit("[]")), x, True, F.lit(True)))
-        own = F.array(row(path, F.col("value"), False, F.col("item")))
+        own = F.array(row(F.col("path"), F.col("value"), False, F.col("item")))
         added = F.when(F.col("fresh"), F.coalesce(fields, items))
         now = now.select(record_id, F.explode(F.when(added.isNull(), own).otherwise(F.concat(own, added))).alias("x")).select(record_id, "x.*")
     return now.filter(~F.col("item")).select(record_id, "path", "value")
