@@ -42,7 +42,7 @@ STAGES = [
     ("packing", pack),
 ]
 
-#: Learned models and fingerprints have no SQL twin; the tests compare the stages with brute force.
+#: Learned models and fingerprints have no SQL twin; the tests compare near copies with brute force and check cases of the other stages.
 ORACLE_SQL = None
 
 
