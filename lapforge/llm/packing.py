@@ -5,7 +5,8 @@ cut into full pieces and a rest. Pieces are dealt into shards of bounded size.
 A shard is packed best-fit, longest first; then the emptiest bin hands pieces to
 other underfull bins - by moves, one-for-one and two-for-one exchanges, each of
 which raises the sum of squared fills - until it is empty or nothing helps. What
-then lies in underfull bins of all shards is dealt out and packed once more.
+then lies in underfull bins of all shards is dealt out and packed anew, until one
+shard has held all of it or it hardly shrinks.
 """
 
 from __future__ import annotations
@@ -29,6 +30,8 @@ END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
 SHARD = 4_096
 UNDERFULL = 0.97
+#: Underfull bins are dealt out anew until they hold more than this share of the pieces dealt.
+STUCK = 0.9
 MEMO = 500_000
 _SLICE = 4_000_000
 
@@ -160,33 +163,58 @@ def best_fit(lengths: np.ndarray, capacity: int) -> np.ndarray:
     return out
 
 
+def _amounts(own: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct sums of one or two pieces, ascending, with the places of these pieces (the second is -1 for one alone).
+
+    Two pieces of each length stand for all of it. A bin's lengths are distinct
+    numbers of a bounded sum, so there are few whatever the number of pieces.
+    """
+    order = np.argsort(own, kind="stable")
+    held = own[order]
+    third = np.concatenate([[False, False], held[2:] == held[:-2]])[: len(held)]
+    some = order[~third]
+    i, j = np.triu_indices(len(some), 1)
+    sums = np.concatenate([own[some], own[some[i]] + own[some[j]]])
+    x, at = np.unique(sums, return_index=True)  # the first of equal sums: one piece rather than two
+    return x, np.concatenate([some, some[i]])[at], np.concatenate([np.full(len(some), -1), some[j]])[at]
+
+
+def _largest(x: np.ndarray, most: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each bound the place in ascending ``x`` of its largest value within the bound, and the value (0: none)."""
+    k = np.searchsorted(x, most, side="right") - 1
+    return k, np.where(k >= 0, x[np.maximum(k, 0)], 0)
+
+
 def _step(own: np.ndarray, sizes: np.ndarray, room: np.ndarray, bins: np.ndarray, free: np.ndarray) -> tuple[int, list[int], list[int], int] | None:
     """The exchange that shifts most from a donor: amount, places of pieces given and taken, receiving bin.
 
     ``own``: lengths in the donor; ``sizes``, ``room``, ``bins``: of pieces in other underfull bins; ``free``: room of each bin.
+    Given are one piece or two, taken none, one, or (for one) two neighbours in order of length.
     """
+    x, one, two = _amounts(own)
+    given = lambda k: [int(one[k])] + [int(two[k])] * int(two[k] >= 0)
     best: tuple[int, list[int], list[int], int] | None = None
-    gives = [([i], int(x)) for i, x in enumerate(own)]
-    gives += [([i, j], int(own[i] + own[j])) for i in range(min(len(own), 40)) for j in range(i)]
-    for give, x in gives:
-        fits = np.flatnonzero(free >= x)
-        if len(fits) and (best is None or x > best[0]):
-            best = (x, give, [], int(fits[free[fits].argmin()]))
-        d = x - sizes
-        d = np.where((d > 0) & (d <= room), d, 0)
-        if len(d) and d.max() > (best[0] if best else 0):
-            k = int(d.argmax())
-            best = (int(d[k]), give, [k], int(bins[k]))
+    k, amount = _largest(x, free)
+    if len(amount) and amount.max() > 0:
+        top = amount.max()
+        to = np.flatnonzero(amount == top)
+        to = int(to[free[to].argmin()])
+        best = (int(top), given(k[to]), [], to)
+    k, amount = _largest(x, sizes + room)
+    amount = amount - sizes
+    if len(amount) and amount.max() > (best[0] if best else 0):
+        at = int(amount.argmax())
+        best = (int(amount[at]), given(k[at]), [at], int(bins[at]))
     order = np.lexsort((sizes, bins))
     a, b = order[:-1], order[1:]
-    two = bins[a] == bins[b]
-    a, b = a[two], b[two]
-    for i, x in enumerate(own if len(a) else []):
-        d = int(x) - sizes[a] - sizes[b]
-        d = np.where((d > 0) & (d <= room[a]), d, 0)
-        if d.max() > (best[0] if best else 0):
-            k = int(d.argmax())
-            best = (int(d[k]), [i], [int(a[k]), int(b[k])], int(bins[a[k]]))
+    same = bins[a] == bins[b]
+    a, b = a[same], b[same]
+    single = two < 0
+    k, amount = _largest(x[single], sizes[a] + sizes[b] + room[a])
+    amount = amount - sizes[a] - sizes[b]
+    if len(amount) and amount.max() > (best[0] if best else 0):
+        at = int(amount.argmax())
+        best = (int(amount[at]), [int(one[single][k[at]])], [int(a[at]), int(b[at])], int(bins[a[at]]))
     return best
 
 
@@ -200,7 +228,7 @@ def local_search(lengths: np.ndarray, bins: np.ndarray, capacity: int) -> np.nda
         if np.count_nonzero(fill) <= least:
             return bins
         under = np.flatnonzero((fill > 0) & (fill < capacity))
-        donors = [b for b in under[np.argsort(fill[under], kind="stable")][:8].tolist() if b not in stuck]
+        donors = [b for b in under[np.argsort(fill[under], kind="stable")].tolist() if b not in stuck]
         if not donors or len(under) < 2:
             return bins
         donor, before = donors[0], bins.copy()
@@ -263,13 +291,18 @@ def place(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     Every row is placed once, repeated rows too; offsets in a sequence are gapless from 0.
     """
     numbered = cut.withColumn("uid", F.monotonically_increasing_id())
-    full = numbered.filter(F.col("length") == capacity).withColumn("sequence_id", -1 - F.col("uid")).withColumn("offset", F.lit(0).cast("long"))
-    rest = numbered.filter(F.col("length") < capacity)
-    first = written(_deal(rest, rest.count(), capacity, 1), "packed")
-    again = first.filter("again")
-    second = _deal(again, again.count(), capacity, 2)
     names = [*cut.columns, "sequence_id", "offset"]
-    return full.select(*names).unionByName(first.filter("not again").select(*names)).unionByName(second.select(*names))
+    full = numbered.filter(F.col("length") == capacity).withColumn("sequence_id", -1 - F.col("uid")).withColumn("offset", F.lit(0).cast("long"))
+    placed, rest, level = full.select(*names), numbered.filter(F.col("length") < capacity), 1
+    count = rest.count()
+    while True:
+        dealt = written(_deal(rest, count, capacity, level), "packed")
+        more = dealt.filter("again").count()
+        # one shard has seen all that is left; dealing out anew ends where it hardly fills bins any more
+        if not more or count <= SHARD or (level > 1 and more > STUCK * count):
+            return placed.unionByName(dealt.select(*names))
+        placed = placed.unionByName(dealt.filter("not again").select(*names))
+        rest, count, level = dealt.filter("again"), more, level + 1
 
 
 def sequences(placed: DataFrame) -> DataFrame:

@@ -286,6 +286,36 @@ def test_local_search_never_loses_squares():
         assert fill[1].max() <= 100 and np.count_nonzero(fill[1]) <= np.count_nonzero(fill[0]) and (fill[1] ** 2).sum() >= (fill[0] ** 2).sum()
 
 
+def test_exchange_is_the_largest_there_is():
+    rng = np.random.default_rng(3)
+    for _ in range(200):
+        own, bins = rng.integers(1, 40, rng.integers(1, 9)), rng.integers(0, 5, rng.integers(1, 15))
+        sizes, free = rng.integers(1, 40, len(bins)), rng.integers(0, 30, 5)
+        pairs = [int(own[i] + own[j]) for i in range(len(own)) for j in range(i)]
+        shifts = [x for x in [*own.tolist(), *pairs] for room in free if x <= room]
+        shifts += [x - s for x in [*own.tolist(), *pairs] for s, b in zip(sizes, bins, strict=True) if 0 < x - s <= free[b]]
+        order = np.lexsort((sizes, bins))
+        twos = [(sizes[a] + sizes[b], bins[a]) for a, b in zip(order[:-1], order[1:], strict=True) if bins[a] == bins[b]]
+        shifts += [x - s for x in own.tolist() for s, b in twos if 0 < x - s <= free[b]]
+        found = packing._step(own, sizes, free[bins], bins, free)
+        assert (found[0] if found else 0) == max(shifts, default=0)
+        if found:
+            shift, give, got, to = found
+            assert len(set(give)) == len(give) and own[give].sum() - sizes[got].sum() == shift <= free[to] and (bins[got] == to).all()
+
+
+def test_packing_deals_out_until_one_shard_holds_the_rest(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(packing, "SHARD", 60)
+    spark.range(3_000).select((1 + F.pmod(F.xxhash64("id"), F.lit(60))).alias("length")).write.parquet(f"{tmp_path}/cut")
+    bins = {}
+    for r in packing.place(spark.read.parquet(f"{tmp_path}/cut"), capacity=100).collect():
+        bins.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    sizes = [sum(n for _, n in spans) for spans in bins.values()]
+    assert sum(map(len, bins.values())) == 3_000 and max(sizes) <= 100
+    assert all(o == sum(n for _, n in sorted(spans)[:k]) for spans in bins.values() for k, (o, _) in enumerate(sorted(spans)))
+    assert len(bins) <= -(-sum(sizes) // 100) + 1 + 3_000 // 60 * 3 // 10
+
+
 def test_mixing(spark, docs):
     got = registry.QUERIES["op10_mixing"](spark, docs).collect()
     assert all(r.taken in (0, r.size, 2 * r.size) for r in got)
