@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SLICE_CHARS = 4_000_000
+#: Ids, of some 8 MB, up to which a list of rows to keep or drop is broadcast.
+MOST_SHARED_IDS = 1_000_000
 
 
 def ready(spark: SparkSession) -> None:
@@ -53,6 +55,15 @@ def written(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def picked(rows: DataFrame, ids: DataFrame, how: str) -> DataFrame:
+    """Rows whose uid is (``left_semi``) or isn't (``left_anti``) in ``ids``, a table as read of one column of distinct numbers.
+
+    A list of a checked size is broadcast, so that texts stay where they are; beyond it both sides are shuffled.
+    """
+    few = ids.count() <= MOST_SHARED_IDS
+    return rows.join(F.broadcast(ids) if few else ids, "uid", how)
+
+
 def remainder(doc_id: str | Column, mod: int) -> Column:
     """crc32 of the id as text, modulo ``mod``; a null id counts as the empty text."""
     col = F.col(doc_id) if isinstance(doc_id, str) else doc_id

@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lapforge.llm.common import appended, ready, texts_of, written
+from lapforge.llm.common import appended, picked, ready, texts_of, written
 from lapforge.llm.components import components
 
 RADIUS = 4
@@ -362,8 +362,8 @@ def _linked(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
     near = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", _bits_apart("codes_a", "codes_b").alias("apart"))
     near = written(near.filter(F.col("apart") <= NEAR_ALL), "near")
     doubtful = near.filter(F.col("apart") > SURE_ALL).select("a", "b")
-    asked = doubtful.select(F.explode(F.array("a", "b")).alias("uid")).distinct()
-    sets = written(shingle_sets(docs.select("uid", "text").join(asked, "uid", "left_semi")).select("uid", "shingles"), "sets")
+    asked = written(doubtful.select(F.explode(F.array("a", "b")).alias("uid")).distinct(), "asked")
+    sets = written(shingle_sets(picked(docs.select("uid", "text"), asked, "left_semi")).select("uid", "shingles"), "sets")
     of = lambda x: sets.select(F.col("uid").alias(x), F.col("shingles").alias(f"of_{x}"))
     met = doubtful.join(of("a"), "a").join(of("b"), "b")
     met = met.select("a", "b", F.size(F.array_intersect("of_a", "of_b")).alias("common"), (F.size("of_a") + F.size("of_b")).alias("both"))
@@ -394,4 +394,5 @@ def stage(docs: DataFrame) -> DataFrame:
     """
     numbered = written(docs.withColumn("uid", F.monotonically_increasing_id()), "numbered")
     kept = alike(numbered).groupBy("root").agg(F.min("best").alias("best")).select(F.col("best.uid").alias("uid"))
-    return numbered.join(kept, "uid", "left_semi").select(*docs.columns)
+    gone = written(numbered.select("uid").join(kept, "uid", "left_anti"), "gone")
+    return picked(numbered, gone, "left_anti").select(*docs.columns)
