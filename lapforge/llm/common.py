@@ -103,6 +103,12 @@ def words_of(texts: pa.Array, lower: bool = True) -> tuple[np.ndarray, np.ndarra
     return ends, coded.indices.to_numpy(zero_copy_only=False), coded.dictionary
 
 
+def give_back() -> None:
+    """Return freed memory of Arrow and of malloc to the system, as a worker may be used again by tasks of another kind."""
+    pa.default_memory_pool().release_unused()
+    pa.system_memory_pool().release_unused()
+
+
 def appended(df: DataFrame, fields: list[T.StructField], work: Callable[[pa.RecordBatch], list[pa.Array]]) -> DataFrame:
     """``df`` with columns computed from slices of its texts; same-named columns are replaced."""
     ready(df.sparkSession)
@@ -114,6 +120,7 @@ def appended(df: DataFrame, fields: list[T.StructField], work: Callable[[pa.Reco
         for batch in batches:
             for part in text_slices(batch):
                 yield pa.RecordBatch.from_arrays([*part.columns, *work(part)], names=[*part.schema.names, *(f.name for f in fields)])
+        give_back()
 
     return kept.mapInArrow(run, schema)
 

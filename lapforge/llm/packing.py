@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lapforge.llm.common import ready, text_slices, texts_of, words_of, written
+from lapforge.llm.common import give_back, ready, text_slices, texts_of, words_of, written
 
 CAPACITY = 4_096
 END_ID = 1
@@ -33,7 +33,7 @@ UNDERFULL = 0.97
 #: Underfull bins are dealt out anew until they hold more than this share of the pieces dealt.
 STUCK = 0.9
 MEMO = 500_000
-_SLICE = 4_000_000
+_SLICE = 2_000_000
 
 #: How the tokenizer cuts a lower-cased text.
 _CUT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -50,7 +50,7 @@ def _spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 class Encoder:
     """Ids of texts by way of their distinct parts: chunks between blanks, cut as the tokenizer cuts them.
 
-    Ids of parts are kept from batch to batch, of at most about ``MEMO`` parts.
+    Ids of parts are kept from batch to batch, of at most about ``MEMO`` parts. An encoder lives as long as its task.
     """
 
     def __init__(self, path: str) -> None:
@@ -93,15 +93,6 @@ class Encoder:
         return flat[_spread(start[:-1][idx], lens)], np.concatenate([[0], np.cumsum(lens)])[ends]
 
 
-_encoders: dict[str, Encoder] = {}
-
-
-def encoder(path: str) -> Encoder:
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
-
-
 def tokenizer_path() -> str:
     import public_tokenizers
 
@@ -120,7 +111,7 @@ def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, e
     names = ["doc_id", "piece", "start", "length", "ids_crc32", *(["ids"] if with_ids else [])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = encoder(at)
+        coder = Encoder(at)
         for batch in batches:
             for part in text_slices(batch, chars=_SLICE):
                 ids, bounds = coder.encode(texts_of(part))
@@ -136,6 +127,8 @@ def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, e
                 cols = np.array(rows, dtype=np.int64).reshape(-1, 5)
                 out = [part.column("doc_id").take(pa.array(cols[:, 0])), pa.array(cols[:, 1].astype(np.int32)), *(pa.array(cols[:, c]) for c in (2, 3, 4))]
                 yield pa.RecordBatch.from_arrays([*out, *([pa.array(cut, pa.list_(pa.int32()))] if with_ids else [])], names=names)
+        del coder
+        give_back()
 
     schema = f"doc_id {kind}, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids
     return docs.select("doc_id", "text").mapInArrow(run, schema)
