@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lapforge.llm import chat, language, maxent, mixing, neighbours, packing, sharding, simhash, topk, toxicity
+from lapforge.llm import chat, divergence, language, maxent, mixing, neighbours, packing, runs, sharding, simhash, topk, toxicity, warc
 from lapforge.llm.common import table
 
 SHARDS = [f"shard-{k:03d}" for k in range(64)]
@@ -53,6 +53,18 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.query(table(spark, sf_dir, "documents"))
 
 
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.query(table(spark, sf_dir, "documents"))
+
+
+def op12_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.query(table(spark, sf_dir, "documents"))
+
+
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.query(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_toxicity": op2_toxicity,
@@ -64,7 +76,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_neighbours": op8_neighbours,
     "op9_topk": op9_topk,
     "op10_mixing": op10_mixing,
+    "op11_divergence": op11_divergence,
+    "op12_runs": op12_runs,
+    "op13_warc": op13_warc,
 }
 
 #: DuckDB SQL of those that SQL can express.
-ORACLES: dict[str, str] = {"op9_topk": topk.ORACLE, "op10_mixing": mixing.ORACLE}
+ORACLES: dict[str, str] = {"op9_topk": topk.ORACLE, "op10_mixing": mixing.ORACLE, "op11_divergence": divergence.ORACLE, "op13_warc": warc.ORACLE}
