@@ -4,8 +4,9 @@ A task goes through slices of documents. In the lower-cased Arrow buffer of a sl
 it points to the start of every term and sorts the pointers by multikey quicksort:
 eight bytes are one key, pointers that agree in it are a slice of their own, sorted
 by the next eight, until their terms end. Equal terms thus lie side by side; one pass
-over their runs counts occurrences and documents for each language and source. Spark
-adds the counts up; no term or group is held whole by a task.
+over their runs gives a row a language and term: its documents, and its occurrences by
+source. Spark brings the rows of a language and term together in order, and tasks add
+them up as they pass and let rare terms go; no term or group is held whole.
 
 Where groups are compared, a term that a group lacks has the group's least
 probability. So only terms that occur are dealt out, in tiles of sources and chunks
@@ -29,7 +30,11 @@ LEAST_DOCS, TOP, BASE = 10, 10, 1_000_000_000
 TILE, CHUNK = 256, 4_096
 #: Bytes of a term after which the few slices left are sorted as whole byte strings.
 DEEP = 256
-COUNTS = "lang string, source string, term string, docs long, n long"
+#: Characters of a slice, and rows that leave a task at a time.
+SLICE_CHARS, ROWS = 8_000_000, 20_000
+PART = "lang string, term string, docs long, sources array<string>, ns array<long>"
+KEPT = "lang string, source string, term string, n long, lang_n long, turn long"
+_PART = pa.schema([("lang", pa.string()), ("term", pa.string()), ("docs", pa.int64()), ("sources", pa.list_(pa.string())), ("ns", pa.list_(pa.int64()))])
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[:0x80] = [ord(chr(c).lower()) if chr(c).isalpha() else 0 for c in range(0x80)]
 _MASK = np.array([0] + [(1 << 64) - (1 << (64 - 8 * r)) for r in range(1, 9)], dtype=np.uint64)
@@ -104,7 +109,7 @@ def _codes(column: pa.Array) -> tuple[np.ndarray, pa.Array]:
 
 
 def count_slice(batch: pa.RecordBatch) -> pa.RecordBatch:
-    """Counts of a slice by language, source and term; the empty term stands for the group itself."""
+    """A row a language and term of a slice: documents, and occurrences by source."""
     lang, langs = _codes(batch.column("lang"))
     source, sources = _codes(batch.column("source"))
     pairs, group = np.unique(lang * len(sources) + source, return_inverse=True)
@@ -113,30 +118,95 @@ def count_slice(batch: pa.RecordBatch) -> pa.RecordBatch:
     rank[by_group] = np.arange(len(group))
     offsets, data = _buffer(texts_of(batch))
     start, length = pointers(offsets, data)
+    if len(start) == 0:
+        return pa.RecordBatch.from_pylist([], _PART)
     order, fresh = multikey_sort(data, start, length)
     heads = order[fresh]
-    doc = rank[np.searchsorted(offsets, start[order], side="right") - 1]
-    hits = np.sort((np.cumsum(fresh) - 1) * len(group) + doc)
-    term, owner = hits // len(group), group[by_group][hits % len(group)]
-    new_doc, new_row = np.ones(len(hits), np.int64), np.ones(len(hits), bool)
+    hits = rank[np.searchsorted(offsets, start[order], side="right") - 1]
+    hits += (np.cumsum(fresh) - 1) * len(group)
+    hits.sort()
+    # a hit is a term and a document; documents of a language, and of a source in it, follow each other
+    new_doc = np.ones(len(hits), bool)
     new_doc[1:] = hits[1:] != hits[:-1]
-    new_row[1:] = (term[1:] != term[:-1]) | (owner[1:] != owner[:-1])
-    rows = np.flatnonzero(new_row)
-    docs = np.add.reduceat(new_doc, rows) if len(rows) else rows
-    n = np.diff(np.concatenate([rows, [len(hits)]]))
-    # the groups themselves follow the counts of their terms
-    terms = pa.concat_arrays([_strings(data, start[heads], length[heads]), pa.array([""])])
-    term, owner = np.concatenate([term[rows], np.full(len(pairs), len(heads))]), np.concatenate([owner[rows], np.arange(len(pairs))])
-    docs, n = np.concatenate([docs, np.bincount(group, minlength=len(pairs))]), np.concatenate([n, np.zeros(len(pairs), np.int64)])
-    of = pairs[owner]
-    return pa.RecordBatch.from_arrays(
-        [langs.take(pa.array(of // len(sources))), sources.take(pa.array(of % len(sources))), terms.take(pa.array(term)), pa.array(docs), pa.array(n)],
-        names=["lang", "source", "term", "docs", "n"],
-    )
-
-
-def count(docs: DataFrame) -> DataFrame:
-    """lang, source, term, documents and occurrences, summed over all documents; the empty term has the group's documents.
+    term, owner = hits // len(group), pairs[group[by_group]][hits % len(group)]
+    cell = np.ones(len(hits), bool)
+    cell[1:] = (term[1:] != term[:-1]) | (owner[1:] != owner[:-1])
+    first_cell = np.flatnonzero(cell)
+    n = np.diff(np.append(first_cell, len(hits)))
+    term, owner = term[first_cell], owner[first_cell]
+    row = np.ones(len(term), bool)
+    row[1:] = (term[1:] != term[:-1]) | (owner[1:] // len(sources) != owner[:-1] // len(sources))
+    first = np.flatnonzero(row)
+    docs = np.add.reduceat(new_doc, first_cell[first], dtype=np.int64)
+    bounds = pa.array(np.append(first, len(term)).astype(np.int32))
+    terms = _strings(data, start[heads], length[heads])
+    return pa.RecordBatch.from_arrays([
+        langs.take(pa.array(owner[first] // len(sources))), terms.take(pa.array(term[first])), pa.array(docs),
+        pa.ListArray.from_arrays(bounds, sources.take(pa.array(owner % len(sources)))), pa.ListArray.from_arrays(bounds, pa.array(n)),
+    ], schema=_PART)
+
+
+class _Sums:
+    """Rows of equal language and term in a batch, added up by source; ``rows`` begin the runs."""
+
+    def __init__(self, batch: pa.RecordBatch) -> None:
+        lang, term = batch.column("lang"), batch.column("term")
+        new = np.ones(batch.num_rows, bool)
+        same = pc.and_(pc.equal(lang[1:], lang[:-1]), pc.equal(term[1:], term[:-1]))
+        new[1:] = ~same.to_numpy(zero_copy_only=False)
+        self.rows = np.flatnonzero(new)
+        self.lang, self.term = lang.take(pa.array(self.rows)), term.take(pa.array(self.rows))
+        self.docs = np.add.reduceat(batch.column("docs").to_numpy(), self.rows)
+        of_run = np.repeat(np.cumsum(new) - 1, pc.list_value_length(batch.column("sources")).to_numpy(zero_copy_only=False))
+        coded = batch.column("sources").flatten().dictionary_encode()
+        rank = np.argsort(np.argsort(np.array([s.encode() for s in coded.dictionary.to_pylist()], dtype=object)))
+        self.names = coded.dictionary.take(pa.array(np.argsort(rank)))
+        key = of_run * len(rank) + rank[coded.indices.to_numpy(zero_copy_only=False)]
+        cells, place = np.unique(key, return_inverse=True)
+        self.n = np.zeros(len(cells), np.int64)
+        np.add.at(self.n, place, batch.column("ns").flatten().to_numpy())
+        self.run, self.source = cells // len(rank), cells % len(rank)
+
+    def kept(self, upto: int, least_docs: int) -> pa.RecordBatch:
+        """Cells of the first ``upto`` runs that have documents enough."""
+        runs = self.docs >= least_docs
+        runs[upto:] = False
+        cells = np.flatnonzero(runs[self.run])
+        run = pa.array(self.run[cells])
+        total = np.add.reduceat(self.n, np.searchsorted(self.run, np.arange(len(self.rows))))
+        turn = cells - np.searchsorted(self.run, self.run[cells]) + 1
+        return pa.RecordBatch.from_arrays(
+            [self.lang.take(run), self.names.take(pa.array(self.source[cells])), self.term.take(run), pa.array(self.n[cells]), pa.array(total[self.run[cells]]), pa.array(turn)],
+            names=["lang", "source", "term", "n", "lang_n", "turn"],
+        )
+
+    def last(self) -> pa.RecordBatch:
+        """The last run as one row, to go on with."""
+        cells = np.flatnonzero(self.run == len(self.rows) - 1)
+        bounds = pa.array(np.array([0, len(cells)], np.int32))
+        return pa.RecordBatch.from_arrays([
+            self.lang[-1:], self.term[-1:], pa.array(self.docs[-1:]), pa.ListArray.from_arrays(bounds, self.names.take(pa.array(self.source[cells]))), pa.ListArray.from_arrays(bounds, pa.array(self.n[cells])),
+        ], schema=_PART)
+
+
+def _merged(batches: Iterator[pa.RecordBatch], least_docs: int) -> Iterator[pa.RecordBatch]:
+    """Add up rows in order of language and term; the run that a batch ends in goes on in the next."""
+    open_run: pa.RecordBatch | None = None
+    for batch in batches:
+        if batch.num_rows == 0:
+            continue
+        parts = [b.cast(_PART) for b in ([batch] if open_run is None else [open_run, batch])]
+        sums = _Sums(pa.concat_batches(parts))
+        yield sums.kept(len(sums.rows) - 1, least_docs)
+        open_run = sums.last()
+    if open_run is not None:
+        yield _Sums(open_run).kept(1, least_docs)
+    give_back()
+
+
+def count(docs: DataFrame, least_docs: int) -> DataFrame:
+    """lang, source, term, n of the terms in at least ``least_docs`` documents of their language, with lang_n, the
+    language's sum, and turn, from 1 over the sources of a term by their bytes.
 
     Null text, lang or source is read as the empty string; each row is a document, repeated ones too.
     """
@@ -144,12 +214,14 @@ def count(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in text_slices(batch):
-                yield count_slice(part)
+            for part in text_slices(batch, chars=SLICE_CHARS):
+                rows = count_slice(part)
+                yield from (rows.slice(k, ROWS) for k in range(0, rows.num_rows, ROWS))
         give_back()
 
-    part = docs.select("lang", "source", "text").mapInArrow(run, COUNTS)
-    return part.groupBy("lang", "source", "term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("n"))
+    parts = docs.select("lang", "source", "text").mapInArrow(run, PART)
+    together = parts.repartition("lang", "term").sortWithinPartitions("lang", "term")
+    return together.mapInArrow(lambda batches: _merged(batches, least_docs), KEPT)
 
 
 def compare_tile(rows: pa.Table, tile: int) -> pa.Table:
@@ -200,11 +272,8 @@ def audit(docs: DataFrame, least_docs: int = LEAST_DOCS, top: int = TOP, tile: i
 
     Ties go by the item's bytes. No documents: no rows. A language without a kept term: pairs of value 0.
     """
-    counts = written(count(docs), "counts")
-    names = counts.filter("term = ''").select("lang", "source")
-    one = Window.partitionBy("lang", "term")
-    kept = counts.filter("term != ''").withColumns({"in_docs": F.sum("docs").over(one), "lang_n": F.sum("n").over(one), "turn": F.row_number().over(one.orderBy("source"))})
-    kept = written(kept.filter(F.col("in_docs") >= least_docs).select("lang", "source", "term", "n", "lang_n", "turn"), "kept")
+    kept = written(count(docs, least_docs), "kept")
+    names = docs.select(*[F.coalesce(c, F.lit("")).alias(c) for c in ("lang", "source")]).distinct()
     of_lang = kept.groupBy("lang").agg(F.sum(F.when(F.col("turn") == 1, 1)).alias("v"), F.sum("n").alias("lang_total"))
     of_source = kept.groupBy("lang", "source").agg(F.sum("n").alias("total"))
     numbered = names.withColumn("i", F.row_number().over(Window.partitionBy("lang").orderBy("source")).cast("long") - 1)
