@@ -9,21 +9,43 @@ from lapforge.functions.exprs import blank, txt, variant
 from lapforge.sources.entities import EntitySpec
 
 
+#: Bytes that a variant can hold; a longer document is taken apart as text.
+MOST_VARIANT = 128 << 20
+
+
 def parse_objects(pages: DataFrame, value: str = "value") -> tuple[DataFrame, DataFrame]:
-    """Pages that parse (with ``doc``), and those that don't, as failures."""
+    """Pages that parse (with ``doc``, or ``big``, the text of one that is too long for a variant), and those that don't, as failures."""
     parsed = pages.withColumn("doc", variant(value))
-    bad = parsed.filter(F.col("doc").isNull()).select("source_key", F.lit("not valid JSON").alias("error_detail"), F.col(value).alias("fragment"))
-    return parsed.filter(F.col("doc").isNotNull()), bad
+    whole = F.col("doc").isNull() & (F.octet_length(value) >= MOST_VARIANT) & F.json_object_keys(value).isNotNull()
+    parsed = parsed.withColumn("big", F.when(whole, F.col(value)))
+    known = F.col("doc").isNotNull() | F.col("big").isNotNull()
+    bad = parsed.filter(~known).select("source_key", F.lit("not valid JSON").alias("error_detail"), F.col(value).alias("fragment"))
+    return parsed.filter(known), bad
+
+
+def _container(spec: EntitySpec, docs: DataFrame) -> Column:
+    """The outer list of a document; of a big one each element is parsed by itself."""
+    found = F.try_variant_get("doc", f"$.{spec.container}", "array<variant>")
+    if "big" not in docs.columns:
+        return found
+    path = spec.container.split(".")
+    shape = "array<string>"
+    for name in reversed(path[1:]):
+        shape = f"struct<`{name}`: {shape}>"
+    texts = F.from_json("big", f"`{path[0]}` {shape}")
+    for name in path:
+        texts = texts.getField(name)
+    return F.when(F.col("big").isNull(), found).otherwise(F.transform(texts, lambda t: F.try_parse_json(t)))
 
 
 def _objects(list_: Column) -> Column:
     """Elements of a list of variants that are objects; anything else, and no list, is skipped."""
-    return F.filter(F.coalesce(list_, F.array().cast("array<variant>")), lambda x: F.schema_of_variant(x).startswith("OBJECT"))
+    return F.filter(F.coalesce(list_, F.array().cast("array<variant>")), lambda x: F.coalesce(F.schema_of_variant(x).startswith("OBJECT"), F.lit(False)))
 
 
 def explode_records(spec: EntitySpec, docs: DataFrame) -> DataFrame:
     """source_key, pos, record and the lifted fields of the outer element, one row a record."""
-    outer = docs.select("source_key", F.posexplode(_objects(F.try_variant_get("doc", f"$.{spec.container}", "array<variant>"))).alias("p", "outer"))
+    outer = docs.select("source_key", F.posexplode(_objects(_container(spec, docs))).alias("p", "outer"))
     lifted = [txt(F.col("outer"), name).alias(f"lifted_{name}") for name in spec.lifted]
     if spec.child is None:
         return outer.select("source_key", F.col("p").cast("long").alias("pos"), F.col("outer").alias("record"), *lifted)

@@ -672,6 +672,29 @@ def lake_pages(spark: SparkSession, sf: str) -> DataFrame:
     return lake.read_lake(spark, root, "seasons", "2024-01-01").select("offset", "source_key")
 
 
+@query(
+    "lake_json",
+    """WITH p AS (SELECT (o_orderkey // 200 * 200)::INT AS "offset", count(*) AS n FROM orders GROUP BY 1)
+    SELECT "offset", 'all' AS scope, 'seasons/2024-01-01/seasons_all_offset=' || lpad("offset"::VARCHAR, greatest(5, len("offset"::VARCHAR))::INT, '0') || '.json' AS source_key,
+    CASE WHEN "offset" % 2000 = 1000 THEN -1 ELSE n END::INT AS records FROM p""",
+)
+def lake_json(spark: SparkSession, sf: str) -> DataFrame:
+    """Pages put as JSON objects, the first day's read back; records of each, -1 for one that isn't JSON."""
+    root = store.new_folder(spark, "objects")
+    lake.put_objects(_landed(spark, sf), root)
+    found = lake.read_objects(spark, root, "seasons", "2024-01-01")
+    return found.select("offset", "scope", "source_key", F.coalesce(x.arr_len(x.variant("value"), "MRData.SeasonTable.Seasons"), F.lit(-1)).alias("records"))
+
+
+@query("lake_json_load", _LOADED)
+def lake_json_load(spark: SparkSession, sf: str) -> DataFrame:
+    """Objects of all days streamed into the raw table."""
+    base = store.new_folder(spark, "objects")
+    lake.put_objects(_landed(spark, sf), f"{base}/lake")
+    loader.stream_load(spark, "", f"{base}/seasons", "seasons", f"{base}/marks", lake.stream_objects(spark, f"{base}/lake", "seasons"))
+    return loader.latest(spark, f"{base}/seasons", "seasons").select("season", x.txt(x.variant("payload"), "url").alias("url"))
+
+
 def _loaded(spark: SparkSession, sf: str) -> str:
     base = store.new_folder(spark, "stream")
     lake.land_pages(_landed(spark, sf), f"{base}/lake")

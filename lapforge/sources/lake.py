@@ -1,7 +1,14 @@
-"""Landing zone: deterministic keys, idempotent writes page by page, scoped reads, page audit."""
+"""Landing zone: deterministic keys, idempotent writes page by page, scoped reads, page audit.
+
+Pages are landed in either of two forms: rows of a parquet table partitioned by
+entity, day, scope and offset, or JSON objects, one a page, under their lake keys.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -63,6 +70,84 @@ def read_lake(spark: SparkSession, root: str, entity: str, day: str, season: int
     return pages
 
 
+def put_objects(pages: DataFrame, root: str) -> int:
+    """Write each page (entity, ingestion_date, scope, offset, value) as an object under its lake key; how many were written.
+
+    Tasks put the objects they hold. An object appears by a move, so a reader sees it
+    whole or not at all; putting it again replaces it. Keys must be distinct.
+    """
+    key = lake_key(F.col("entity"), F.col("scope"), F.col("offset"), F.col("ingestion_date"))
+
+    def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import posixpath
+
+        from pyarrow import fs, record_batch
+
+        store, folder = fs.FileSystem.from_uri(root) if ":/" in root else (fs.LocalFileSystem(), root)
+        for batch in batches:
+            for name, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                place = posixpath.join(folder, name)
+                draft = posixpath.join(posixpath.dirname(place), "." + posixpath.basename(place))
+                store.create_dir(posixpath.dirname(place), recursive=True)
+                with store.open_output_stream(draft, compression=None) as out:
+                    out.write((value or "").encode())
+                store.move(draft, place)
+            yield record_batch({"objects": [batch.num_rows]})
+
+    return pages.select(key.alias("source_key"), "value").mapInArrow(put, "objects long").agg(F.coalesce(F.sum("objects"), F.lit(0))).first()[0]
+
+
+#: Place of a landed object under the root: entity, day, and a name of entity, scope and offset.
+_OBJECT = r"([^/]+)/([0-9]{4}-[0-9]{2}-[0-9]{2})/([^/]+)_offset=([0-9]+)\.json$"
+
+
+def _objects(files: DataFrame) -> DataFrame:
+    """Pages from whole files, placed by where they lie."""
+    return _placed(files, F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))))
+
+
+def _placed(rows: DataFrame, path: Column) -> DataFrame:
+    part = lambda k: F.regexp_extract(path, _OBJECT, k)
+    scope = F.substr(part(3), F.length(part(1)) + 2)
+    key = F.regexp_extract(path, r"([^/]+/[^/]+/[^/]+)$", 1)
+    return rows.select(part(1).alias("entity"), part(2).try_cast("date").alias("ingestion_date"), scope.alias("scope"), part(4).try_cast("int").alias("offset"), "value", key.alias("source_key"))
+
+
+def read_objects(spark: SparkSession, root: str, entity: str, day: str = "*", season: int | None = None, round_: int | None = None) -> DataFrame:
+    """Landed JSON objects of an entity, one row each, whatever their size: of one day or of all, of a season with
+    all its rounds or of one round.
+
+    Only the entity's folders are listed and only files of the scope are opened. An
+    object that isn't JSON is a row like others; the parse tells. Objects of no bytes
+    are left out by Spark's readers: ``empty_objects`` has them. Nothing landed: no rows.
+    """
+    label = "" if season is None else f"season={season}_" + ("" if round_ is None else f"round={round_:02d}_")
+    try:
+        files = spark.read.option("pathGlobFilter", f"{entity}_{label}*offset=*.json").text(f"{root}/{entity}/{day}", wholetext=True)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return spark.createDataFrame([], PAGE)
+    return _objects(files)
+
+
+def empty_objects(spark: SparkSession, root: str, entity: str, day: str) -> DataFrame:
+    """Objects of an entity and day that have no bytes, as pages of empty text: what is to be dead-lettered, not missed."""
+    from pyarrow import fs
+
+    store, folder = fs.FileSystem.from_uri(root) if ":/" in root else (fs.LocalFileSystem(), root)
+    found = store.get_file_info(fs.FileSelector(f"{folder.rstrip('/')}/{entity}/{day}", allow_not_found=True))
+    names = [f.base_name for f in found if f.size == 0 and f.base_name.endswith(".json") and not f.base_name.startswith(".")]
+    rows = spark.createDataFrame([(f"{entity}/{day}/{n}",) for n in names], "source_key string").withColumn("value", F.lit(""))
+    return _placed(rows, F.col("source_key"))
+
+
+def stream_objects(spark: SparkSession, root: str, entity: str) -> DataFrame:
+    """Objects of an entity as a stream: each that lands is read once."""
+    reader = spark.readStream.option("pathGlobFilter", f"{entity}_*offset=*.json").option("wholetext", True)
+    return _objects(reader.text(f"{root}/{entity}/*"))
+
+
 def page_meta(pages: DataFrame, value: str = "value", limit: Column | None = None, offset: Column | None = None) -> DataFrame:
     """Add total, limit, offset as ints. Text that is none gets 0, the requested limit (-1 if not given) and offset (0)."""
     doc = variant(value)
