@@ -7,12 +7,13 @@ constructor = supplier's nation, circuit = customer's nation.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lapforge.functions import exprs as x
-from lapforge.operators import extract, merge, profile, quality, state
+from lapforge.operators import extract, fused, merge, profile, quality, state
 from lapforge.plans import dashboards as d
 from lapforge.plans import marts, store
 from lapforge.sources import lake
@@ -558,6 +559,55 @@ def dq_suite(spark: SparkSession, sf: str) -> DataFrame:
     return quality.suite(spark, {"lines": ("error", quality.unique(_t(spark, sf, "lineitem"), "l_orderkey", "l_linenumber")), "orders": ("warn", quality.unique(_t(spark, sf, "orders"), "o_orderkey")), "prices": ("error", quality.not_null(_t(spark, sf, "lineitem"), "l_extendedprice"))}, {"prices": ["lines"]})
 
 
+#: Declared checks over the test tables.
+CHECKS = [
+    *fused.not_null("lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_shipdate"), *fused.not_null("orders", "o_orderkey", "o_custkey", "o_orderdate"), *fused.not_null("events", "props"),
+    fused.Check("events", "accepted_values", ("event_type",), "warn", values=("click", "view"), where="value > 5"),
+    fused.Check("orders", "accepted_values", ("o_orderstatus",), values=("F", "O", "P")),
+    fused.Check("nation", "row_count", equals=24), fused.Check("orders", "equal_rowcount", to=("customer",)),
+    fused.Check("events", "freshness", ("ts",), now=datetime(2024, 2, 2, tzinfo=timezone.utc)),
+    fused.Check("orders", "unique", ("o_orderkey",)), fused.Check("lineitem", "unique", ("l_orderkey", "l_linenumber")), fused.Check("customer", "unique", ("c_custkey",)), fused.Check("events", "unique", ("user_id",), "warn"),
+    fused.Check("lineitem", "relationships", ("l_orderkey",), to=("orders", "o_orderkey")), fused.Check("lineitem", "relationships", ("l_suppkey",), to=("supplier", "s_suppkey")),
+    fused.Check("lineitem", "relationships", ("l_partkey",), to=("supplier", "s_suppkey")), fused.Check("orders", "relationships", ("o_custkey",), to=("customer", "c_custkey")),
+    fused.Check("customer", "relationships", ("c_nationkey",), to=("supplier", "s_nationkey")),
+]
+
+
+def _row(name: str, kind: str, table: str, failing: str, severity: str = "'error'") -> str:
+    return f"SELECT '{name}' AS name, '{table}' AS \"table\", '{kind}' AS kind, {severity} AS severity, ({failing})::BIGINT AS failing"
+
+
+def _nulls(table: str, *columns: str) -> list[str]:
+    return [_row(f"not_null_{table}_{c}", "not_null", table, f"SELECT count(*) FROM {table} WHERE {c} IS NULL") for c in columns]
+
+
+def _twice(table: str, *columns: str, severity: str = "'error'") -> str:
+    return _row(f"unique_{table}_{'_'.join(columns)}", "unique", table, f"SELECT count(*) FROM (SELECT 1 FROM {table} GROUP BY {', '.join(columns)} HAVING count(*) > 1)", severity)
+
+
+def _lost(table: str, column: str, parent: str, key: str) -> str:
+    return _row(f"relationships_{table}_{column}_to_{parent}_{key}", "relationships", table, f"SELECT count(*) FROM {table} WHERE {column} IS NOT NULL AND {column} NOT IN (SELECT {key} FROM {parent})")
+
+
+_AGE = "(SELECT TIMESTAMP '2024-02-02 00:00:00' - max(ts) FROM events)"
+
+
+@query("dq_fused", "SELECT *, failing = 0 AS passed FROM (" + " UNION ALL ".join([
+    *_nulls("lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_shipdate"), *_nulls("orders", "o_orderkey", "o_custkey", "o_orderdate"), *_nulls("events", "props"),
+    _row("accepted_values_events_event_type", "accepted_values", "events", "SELECT count(*) FROM events WHERE value > 5 AND event_type NOT IN ('click', 'view')", "'warn'"),
+    _row("accepted_values_orders_o_orderstatus", "accepted_values", "orders", "SELECT count(*) FROM orders WHERE o_orderstatus NOT IN ('F', 'O', 'P')"),
+    _row("row_count_nation", "row_count", "nation", "SELECT count(*) <> 24 FROM nation"), _row("equal_rowcount_orders_to_customer", "equal_rowcount", "orders", "SELECT (SELECT count(*) FROM orders) <> (SELECT count(*) FROM customer)"),
+    _row("freshness_events_ts", "freshness", "events", f"{_AGE} > INTERVAL 36 HOUR", f"CASE WHEN {_AGE} > INTERVAL 168 HOUR THEN 'error' ELSE 'warn' END"),
+    _twice("orders", "o_orderkey"), _twice("lineitem", "l_orderkey", "l_linenumber"), _twice("customer", "c_custkey"), _twice("events", "user_id", severity="'warn'"),
+    _lost("lineitem", "l_orderkey", "orders", "o_orderkey"), _lost("lineitem", "l_suppkey", "supplier", "s_suppkey"), _lost("lineitem", "l_partkey", "supplier", "s_suppkey"),
+    _lost("orders", "o_custkey", "customer", "c_custkey"), _lost("customer", "c_nationkey", "supplier", "s_nationkey"),
+]) + ")")
+def dq_fused(spark: SparkSession, sf: str) -> DataFrame:
+    """Twenty-two declared checks, each table scanned once."""
+    names = {c.table for c in CHECKS} | {c.to[0] for c in CHECKS if c.to}
+    return fused.run_checks(spark, {n: _t(spark, sf, n) for n in names}, CHECKS)
+
+
 def _profile(spark: SparkSession, sf: str) -> DataFrame:
     """Orders as JSON: numbers, texts, a date that is missing at times, objects three deep, and a list of objects."""
     even = F.col("o_orderkey") % 2 == 0
