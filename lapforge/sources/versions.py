@@ -7,7 +7,7 @@ not at all: what a crash leaves half written is never read, and is removed later
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _COMMIT = "version long, part string, committed_at timestamp"
@@ -31,9 +31,10 @@ def commits(spark: SparkSession, root: str) -> DataFrame:
     return read_or_empty(spark, _COMMIT, f"{root}/commits")
 
 
-def commit(spark: SparkSession, root: str, version: int, parts: list[str]) -> None:
+def commit(spark: SparkSession, root: str, version: int, parts: list[str], at: Column | None = None) -> None:
+    """``at``: the time that the version stands for, now if it isn't given."""
     rows = spark.createDataFrame([(version, p) for p in parts or [None]], "version long, part string")
-    rows.withColumn("committed_at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(f"{root}/commits")
+    rows.withColumn("committed_at", F.current_timestamp() if at is None else at).coalesce(1).write.mode("append").parquet(f"{root}/commits")
 
 
 def is_committed(spark: SparkSession, root: str, version: int) -> bool:
@@ -58,3 +59,33 @@ def children(spark: SparkSession, path: str) -> list[str]:
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     store = where.getFileSystem(spark._jsc.hadoopConfiguration())
     return [s.getPath().getName() for s in store.listStatus(where)] if store.exists(where) else []
+
+
+def part_path(data: str, version: int, column: str | None, part: str) -> str:
+    return f"{data}/version={version}" + ("" if column is None else f"/{column}={part}")
+
+
+def clean(spark: SparkSession, root: str, data: str, column: str | None, keep: int) -> int:
+    """Delete versions of parts in ``data`` that at least ``keep`` newer ones replace, and parts that older versions wrote
+    but never committed; how many were deleted. ``column`` is what folders of parts are named by, None if there is one part.
+
+    Only what lies there is looked at, at most a few versions of each part.
+    """
+    lying: dict[str, list[int]] = {}
+    for folder in children(spark, data):
+        if folder.startswith("version="):
+            number = int(folder.removeprefix("version="))
+            parts = ["all"] if column is None else [n.removeprefix(f"{column}=") for n in children(spark, f"{data}/{folder}") if n.startswith(f"{column}=")]
+            for p in parts:
+                lying.setdefault(p, []).append(number)
+    have = commits(spark, root).filter(F.col("version").isin(sorted({v for many in lying.values() for v in many})))
+    done = {(r["version"], r["part"]) for r in have.select("version", "part").collect()}
+    newest = max((v for v, _ in done), default=0)
+    gone = []
+    for p, many in lying.items():
+        kept = sorted((v for v in many if (v, p) in done), reverse=True)
+        gone += [(v, p) for v in kept[keep:]] + [(v, p) for v in many if (v, p) not in done and v < newest]
+    deleted = sum(delete(spark, part_path(data, v, column, p)) for v, p in gone)
+    for v in {v for many in lying.values() for v in many} - {v for p, many in lying.items() for v in many if (v, p) not in gone}:
+        delete(spark, f"{data}/version={v}")
+    return deleted

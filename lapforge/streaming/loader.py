@@ -111,28 +111,8 @@ def dead_letters(spark: SparkSession, root: str, batch: int | None = None) -> Da
 
 
 def drop_replaced(spark: SparkSession, root: str, entity: str, keep: int = KEEP) -> int:
-    """Delete versions of an entity's parts that at least ``keep`` newer ones replace, and parts that older batches
-    wrote but never committed; how many were deleted.
-
-    Only what lies there is looked at, at most a few versions of each part.
-    """
-    lying: dict[str, list[int]] = {}
-    for folder in versions.children(spark, f"{root}/raw"):
-        if folder.startswith("version="):
-            parts = [n.removeprefix("bucket=") for n in versions.children(spark, f"{root}/raw/{folder}") if n.startswith("bucket=")]
-            for p in parts:
-                lying.setdefault(p, []).append(int(folder.removeprefix("version=")))
-    have = versions.commits(spark, root).filter(F.col("version").isin(sorted({v for many in lying.values() for v in many})))
-    done = {(r["version"], r["part"]) for r in have.select("version", "part").collect()}
-    newest = max((v for v, _ in done), default=0)
-    gone = []
-    for p, many in lying.items():
-        kept = sorted((v for v in many if (v, p) in done), reverse=True)
-        gone += [(v, p) for v in kept[keep:]] + [(v, p) for v in many if (v, p) not in done and v < newest]
-    deleted = sum(versions.delete(spark, f"{root}/raw/version={v}/bucket={p}") for v, p in gone)
-    for v in {v for many in lying.values() for v in many} - {v for p, many in lying.items() for v in many if (v, p) not in gone}:
-        versions.delete(spark, f"{root}/raw/version={v}")
-    return deleted
+    """Delete versions of an entity's parts that at least ``keep`` newer ones replace, and what broken batches left; how many were deleted."""
+    return versions.clean(spark, root, f"{root}/raw", "bucket", keep)
 
 
 def stream_load(spark: SparkSession, lake_root: str, root: str, entity: str, checkpoint: str, pages: DataFrame | None = None) -> None:

@@ -2,6 +2,7 @@
 
 import json
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -228,3 +229,47 @@ def test_write_table_replaces(spark, tmp_path):
     write_table(spark.range(5), path)
     out = write_table(spark.createDataFrame([(1, 2031), (2, 2032)], "k int, season int"), path, ("season",))
     assert out.columns == ["k", "season"] and rows(out.filter("season = 2032")) == [(2, 2032)]
+
+
+def test_checks_gate_the_build(spark, chain, tmp_path):
+    """A bad dimension keeps its former version, and so does what needs it; the others are built."""
+    root, raw, _ = chain
+    out, as_of = str(tmp_path), F.lit(AS_OF).cast("timestamp")
+    empty = spark.createDataFrame([], "status string, updated_at timestamp"), spark.createDataFrame([], "called_at timestamp")
+    todo = build.models(*empty, as_of)
+    status = lambda report: {r.model: r.status for r in report.collect()}
+    tables, report = build.run(spark, todo, raw, out)
+    assert set(status(report).values()) == {"built"} and {r.model: r.warned for r in report.collect()}["fct_results"] == ["no_unknown_fct_results_driver_key"]
+    # a driver twice, and a circuit that is new
+    extra = raw["drivers"].filter("driver_id = 'ada'")
+    circuit = raw["circuits"].limit(1).withColumn("circuit_id", F.lit("ring"))
+    bad = raw | {"drivers": raw["drivers"].unionByName(extra), "circuits": raw["circuits"].unionByName(circuit)}
+    tables, report = build.run(spark, todo, bad, out)
+    got = status(report)
+    assert got["dim_driver"] == "failed" and {r.model: r.failed for r in report.collect()}["dim_driver"] == ["unique_dim_driver_driver_key"]
+    assert {n for n, s in got.items() if s == "skipped"} == {"fct_results", "fct_sprint_results", "fct_driver_standings", "rpt_pipeline_freshness"}
+    assert {n for n, s in got.items() if s == "built"} == {"dim_constructor", "dim_circuit", "dim_status", "dim_race", "fct_constructor_standings"}
+    assert tables["dim_driver"].count() == 5 and tables["dim_circuit"].count() == 4 and tables["fct_results"].count() == 12
+
+
+def test_refresh_writes_what_changed(spark, chain, tmp_path):
+    """An amendment rewrites one season of one fact; a driver that becomes known the season that met him."""
+    root, raw, _ = chain
+    out, as_of = str(tmp_path), F.lit(AS_OF).cast("timestamp")
+    empty = spark.createDataFrame([], "status string, updated_at timestamp"), spark.createDataFrame([], "called_at timestamp")
+    todo = [m for m in build.models(*empty, as_of) if m.name != "rpt_pipeline_freshness"]
+    build.run(spark, todo, raw, out)
+    written = lambda: {str(p.relative_to(out)).rsplit("/", 1)[0] for p in Path(out).rglob("fct_*/data/*/*/*.parquet")}
+    before = written()
+    later = F.lit(spark.sql("select current_timestamp()").first()[0])
+    hit = (F.col("season") == "2031") & (F.col("round") == "1") & (F.col("driver_id") == "ada")
+    amended = raw["results"].withColumns({"payload": F.when(hit, F.regexp_replace("payload", '"points":"8"', '"points":"7.5"')).otherwise(F.col("payload")), "updated_at": F.when(hit, later).otherwise(F.col("updated_at"))})
+    known = raw["drivers"].filter("driver_id = 'ada'").withColumn("driver_id", F.lit("zed"))
+    tables, report = build.run(spark, todo, raw | {"results": amended}, out, refresh=True)
+    assert written() - before == {"fct_results/data/version=2/season=2031", "fct_results/data/version=2/season=2032"}  # 2032 holds an unknown driver
+    tables, report = build.run(spark, todo, raw | {"results": amended, "drivers": raw["drivers"].unionByName(known)}, out, refresh=True)
+    assert {r.model: (r.status, r.parts) for r in report.collect() if r.model.startswith("fct")} == {"fct_results": ("built", 1), "fct_sprint_results": ("unchanged", 0), "fct_driver_standings": ("unchanged", 0), "fct_constructor_standings": ("unchanged", 0)}
+    assert quality.no_unknown_members(tables["fct_results"], ["driver_key"]).isEmpty()
+    assert sorted(str(r.points) for r in tables["fct_results"].filter("season = 2031 and round = 1").collect()) == ["2.0000", "4.0000", "6.0000", "7.5000"]
+    tables, report = build.run(spark, todo, raw | {"results": amended, "drivers": raw["drivers"].unionByName(known)}, out, refresh=True)
+    assert {r.status for r in report.collect() if r.model.startswith("fct")} == {"unchanged"}
