@@ -5,12 +5,14 @@ measured while it is written, key checks of all marts of a step share one scan o
 each. A mart with a failing error check is not committed, and marts that need it are
 not built: readers go on with the former versions of both. Facts are stored by season,
 each season a version of its own, so a refresh writes only the seasons that changed.
+Marts of one step are committed together, and a run has one version number.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 from graphlib import TopologicalSorter
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -80,29 +82,30 @@ def models(checkpoints: DataFrame, calls: DataFrame, as_of: Column) -> list[Mode
     ]
 
 
-def stored(spark: SparkSession, root: str, model: Model, columns: list[str] | None = None) -> DataFrame | None:
+def _kept(known: dict, model: Model) -> dict[str, list[int]]:
+    """Committed versions of a model's parts, newest first."""
+    start = f"{model.name}/"
+    return {p.removeprefix(start): v.versions for p, v in known.items() if p is not None and p.startswith(start)}
+
+
+def stored(spark: SparkSession, root: str, model: Model, known: dict, columns: list[str] | None = None) -> DataFrame | None:
     """A mart as it is now, None before its first version counts."""
-    data, newest = f"{root}/{model.name}/data", versions.current(spark, f"{root}/{model.name}")
-    if not newest:
+    data, kept = f"{root}/{model.name}", _kept(known, model)
+    if not kept:
         return None
-    paths = [versions.part_path(data, v, model.by, p) for p, v in sorted(newest.items())]
+    paths = [versions.part_path(data, v[0], model.by, p) for p, v in sorted(kept.items())]
     found = spark.read.option("basePath", data).parquet(*paths).drop("version")
     return found if columns is None else found.select(*columns)
 
 
-def touched_seasons(spark: SparkSession, root: str, model: Model, staged: Tables, out: Tables) -> list[int] | None:
+def touched_seasons(model: Model, known: dict, staged: Tables, out: Tables) -> list[int] | None:
     """Seasons whose rows changed since the model was last built, or that refer to what a dimension didn't know; None if it never was."""
-    last = versions.commits(spark, f"{root}/{model.name}").agg(F.max("committed_at").alias("t")).filter("t is not null")
-    if last.isEmpty():
+    last = max((v.at for p, v in known.items() if p is not None and p.startswith(f"{model.name}/")), default=None)
+    if last is None:
         return None
-    moved = [staged[s].join(F.broadcast(last), F.col("updated_at") >= F.col("t"), "left_semi").select("season") for s in model.staged]
-    old, keys = out.get(model.name), [c.columns[0] for c in model.checks if c.kind == "no_unknown"]
-    if old is not None:
-        moved += [old.filter(F.col(k) == unknown_key()).select("season") for k in keys]
-    seasons = moved[0]
-    for more in moved[1:]:
-        seasons = seasons.union(more)
-    return sorted(r[0] for r in seasons.filter("season is not null").distinct().collect())
+    moved = [staged[s].filter(F.col("updated_at") >= F.lit(last)).select("season") for s in model.staged]
+    moved += [out[model.name].filter(F.col(c.columns[0]) == unknown_key()).select("season") for c in model.checks if c.kind == "no_unknown"]
+    return sorted(r[0] for r in reduce(DataFrame.union, moved).filter("season is not null").distinct().collect())
 
 
 def run(spark: SparkSession, chosen: list[Model], raw: Tables, root: str, refresh: bool = False) -> tuple[Tables, DataFrame]:
@@ -111,50 +114,56 @@ def run(spark: SparkSession, chosen: list[Model], raw: Tables, root: str, refres
     ``refresh``: of models stored by season only what changed since their last version.
     """
     staged, by_name = stage_all(raw), {m.name: m for m in chosen}
-    started = F.lit(spark.sql("select current_timestamp()").first()[0])
-    out: Tables = {n: t for n, m in by_name.items() if (t := stored(spark, root, m)) is not None}
+    started = spark.sql("select current_timestamp()").first()[0]
+    known = versions.state(spark, root, KEEP)
+    version = versions.newest(known) + 1
+    out: Tables = {n: t for n, m in by_name.items() if (t := stored(spark, root, m, known)) is not None}
     stopped: set[str] = set()
     rows: list[tuple] = []
     order = TopologicalSorter({m.name: [n for n in m.needs if n in by_name] for m in chosen})
     order.prepare()
     while order.is_active():
         step = [by_name[n] for n in sorted(order.get_ready())]
-        drafts: dict[str, tuple[int, list[str], list[str]]] = {}
+        drafts: dict[str, tuple[list[str], list[str]]] = {}
         new, results = dict(out), []
         for m in step:
             if stopped & set(m.needs):
                 stopped.add(m.name)
                 rows.append((m.name, "skipped", 0, [], []))
                 continue
-            seasons = touched_seasons(spark, root, m, staged, out) if refresh and m.by else None
+            seasons = touched_seasons(m, known, staged, out) if refresh and m.by else None
             if seasons == []:
                 rows.append((m.name, "unchanged", 0, [], []))
                 continue
             df = m.make(staged, out)
             df = df if seasons is None else df.filter(F.col(m.by).isin(seasons))
-            version = max(versions.current(spark, f"{root}/{m.name}").values(), default=0) + 1
-            path = f"{root}/{m.name}/data/version={version}"
+            path = f"{root}/{m.name}/version={version}"
             watched, watch, mine = fused.observed(df, m.name, list(m.checks))
             watched.write.mode("overwrite").partitionBy(*([m.by] if m.by else [])).parquet(path)
             new[m.name] = spark.read.schema(df.schema).parquet(path).select(*df.columns)
             results += fused.judge({m.name: fused.measured(watch, new[m.name], m.name, list(m.checks))}, {m.name: mine})
             names = versions.children(spark, path)
             parts = ["all"] if m.by is None else sorted(n.removeprefix(f"{m.by}=") for n in names if n.startswith(f"{m.by}="))
-            drafts[m.name] = version, parts, df.columns
+            drafts[m.name] = parts, df.columns
         keyed = [c for n in drafts for c in by_name[n].checks if c.kind in fused.KEYED and set(c.to[:1]) <= set(new)]
         if keyed:
             results += [tuple(r) for r in fused.run_checks(spark, {n: new[n] for n in {c.table for c in keyed} | {c.to[0] for c in keyed if c.to}}, keyed).collect()]
-        for name, (version, parts, columns) in drafts.items():
+        passed: list[str] = []
+        for name, (parts, _) in drafts.items():
             bad = {s: sorted(r[0] for r in results if r[1] == name and not r[5] and r[3] == s) for s in ("error", "warn")}
             rows.append((name, "failed" if bad["error"] else "built", len(parts), bad["error"], bad["warn"]))
-            if bad["error"]:
-                stopped.add(name)
-                continue
-            versions.commit(spark, f"{root}/{name}", version, parts, started)
-            versions.clean(spark, f"{root}/{name}", f"{root}/{name}/data", by_name[name].by, KEEP)
-            now = stored(spark, root, by_name[name], columns) if parts else new[name]
+            (stopped.add if bad["error"] else passed.append)(name)
+        if passed:
+            versions.commit(spark, root, version, [f"{n}/{p}" for n in passed for p in drafts[n][0]], F.lit(started))
+        for name in passed:
+            for p in drafts[name][0]:
+                before = known.get(f"{name}/{p}")
+                known[f"{name}/{p}"] = versions.Part([version, *(before.versions if before else [])][:KEEP], started)
+            now = stored(spark, root, by_name[name], known, drafts[name][1])
             out[name] = new[name] if now is None else now
         order.done(*[m.name for m in step])
+    for m in chosen:
+        versions.clean(spark, f"{root}/{m.name}", m.by, _kept(known, m))
     return out, spark.createDataFrame(rows, REPORT)
 
 

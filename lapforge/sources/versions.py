@@ -6,6 +6,9 @@ not at all: what a crash leaves half written is never read, and is removed later
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from datetime import datetime
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,15 +40,27 @@ def commit(spark: SparkSession, root: str, version: int, parts: list[str], at: C
     rows.withColumn("committed_at", F.current_timestamp() if at is None else at).coalesce(1).write.mode("append").parquet(f"{root}/commits")
 
 
-def is_committed(spark: SparkSession, root: str, version: int) -> bool:
-    return not commits(spark, root).filter(F.col("version") == version).isEmpty()
+@dataclass
+class Part:
+    """The newest committed versions of a part, newest first, and the time that the newest stands for."""
+
+    versions: list[int]
+    at: datetime
+
+
+def state(spark: SparkSession, root: str, keep: int = 2) -> dict[str | None, Part]:
+    """What is committed, part by part, up to ``keep`` versions each: as many entries as the table has parts.
+
+    Versions without parts are under None.
+    """
+    newest = F.slice(F.sort_array(F.collect_set("version"), asc=False), 1, keep)
+    rows = commits(spark, root).groupBy("part").agg(newest.alias("versions"), F.max("committed_at").alias("at"))
+    return {r["part"]: Part(list(r["versions"]), r["at"]) for r in rows.collect()}
 
 
-def current(spark: SparkSession, root: str, below: int | None = None) -> dict[str, int]:
-    """Newest committed version of each part: as many entries as the table has parts."""
-    rows = commits(spark, root).filter("part is not null")
-    rows = rows if below is None else rows.filter(F.col("version") < below)
-    return {r["part"]: r["version"] for r in rows.groupBy("part").agg(F.max("version").alias("version")).collect()}
+def newest(known: dict[str | None, Part]) -> int:
+    """Greatest committed version; 0 before the first."""
+    return max((p.versions[0] for p in known.values()), default=0)
 
 
 def delete(spark: SparkSession, path: str) -> bool:
@@ -65,27 +80,21 @@ def part_path(data: str, version: int, column: str | None, part: str) -> str:
     return f"{data}/version={version}" + ("" if column is None else f"/{column}={part}")
 
 
-def clean(spark: SparkSession, root: str, data: str, column: str | None, keep: int) -> int:
-    """Delete versions of parts in ``data`` that at least ``keep`` newer ones replace, and parts that older versions wrote
-    but never committed; how many were deleted. ``column`` is what folders of parts are named by, None if there is one part.
+def clean(spark: SparkSession, data: str, column: str | None, kept: dict[str, list[int]]) -> int:
+    """Delete versions of parts in ``data`` that are older than the newest of ``kept`` and not in it: replaced ones, and
+    what was written but never committed; how many were deleted.
 
-    Only what lies there is looked at, at most a few versions of each part.
+    ``column`` is what folders of parts are named by, None where there is one part only. Only what lies there is looked at.
     """
-    lying: dict[str, list[int]] = {}
+    deleted = 0
     for folder in children(spark, data):
-        if folder.startswith("version="):
-            number = int(folder.removeprefix("version="))
-            parts = ["all"] if column is None else [n.removeprefix(f"{column}=") for n in children(spark, f"{data}/{folder}") if n.startswith(f"{column}=")]
-            for p in parts:
-                lying.setdefault(p, []).append(number)
-    have = commits(spark, root).filter(F.col("version").isin(sorted({v for many in lying.values() for v in many})))
-    done = {(r["version"], r["part"]) for r in have.select("version", "part").collect()}
-    newest = max((v for v, _ in done), default=0)
-    gone = []
-    for p, many in lying.items():
-        kept = sorted((v for v in many if (v, p) in done), reverse=True)
-        gone += [(v, p) for v in kept[keep:]] + [(v, p) for v in many if (v, p) not in done and v < newest]
-    deleted = sum(delete(spark, part_path(data, v, column, p)) for v, p in gone)
-    for v in {v for many in lying.values() for v in many} - {v for p, many in lying.items() for v in many if (v, p) not in gone}:
-        delete(spark, f"{data}/version={v}")
+        if not folder.startswith("version="):
+            continue
+        number = int(folder.removeprefix("version="))
+        parts = ["all"] if column is None else [n.removeprefix(f"{column}=") for n in children(spark, f"{data}/{folder}") if n.startswith(f"{column}=")]
+        last = max((v[0] for v in kept.values()), default=0)
+        gone = [p for p in parts if number not in kept.get(p, []) and number < (kept[p][0] if p in kept else last)]
+        deleted += sum(delete(spark, part_path(data, number, column, p)) for p in gone)
+        if len(gone) == len(parts) and number < last:
+            delete(spark, f"{data}/{folder}")
     return deleted

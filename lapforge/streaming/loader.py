@@ -48,15 +48,19 @@ def _parts(spark: SparkSession, root: str, entity: str, newest: dict[str, int])
 
 def latest(spark: SparkSession, root: str, entity: str, seasons: list[int] | None = None) -> DataFrame:
     """The raw table as it is now, of some seasons only if they are given; empty before the first load."""
-    newest = versions.current(spark, root)
+    newest = {b: p.versions[0] for b, p in versions.state(spark, root).items() if b is not None}
     if seasons is not None:
         newest = {b: v for b, v in newest.items() if not b.startswith("s") or int(b[1:]) in seasons}
     return _parts(spark, root, entity, newest).drop("version", "bucket", "last_action")
 
 
 def load(spark: SparkSession, pages: DataFrame, root: str, entity: str, batch: int) -> None:
-    """Merge pages into the raw table as version ``batch``, record dead letters and the outcome, commit."""
-    if versions.is_committed(spark, root, batch):
+    """Merge pages into the raw table as version ``batch``, record dead letters and the outcome, commit.
+
+    Batches come in order: one that isn't beyond the newest committed is done already.
+    """
+    known = versions.state(spark, root, KEEP)
+    if batch <= versions.newest(known):
         return
     spec = ENTITIES[entity]
     docs, unread = parse_objects(pages)
@@ -68,8 +72,7 @@ def load(spark: SparkSession, pages: DataFrame, root: str, entity: str, batch: i
     last = dedupe_last(records, spec.grain, ["source_key", "pos"]).withColumn("bucket", part_of(spec.grain))
     touched = [r[0] for r in last.select("bucket").distinct().collect()]
     if touched:
-        before = versions.current(spark, root, batch)
-        target = _parts(spark, root, entity, {b: before[b] for b in touched if b in before})
+        target = _parts(spark, root, entity, {b: known[b].versions[0] for b in touched if b in known})
         merged = merge(target.drop("bucket", "version", "last_action"), last.drop("bucket"), spec.grain, F.current_timestamp())
         merged = merged.withColumnRenamed("_action", "last_action").withColumn("bucket", part_of(spec.grain))
         merged.write.mode("overwrite").partitionBy("bucket").parquet(f"{root}/raw/version={batch}")
@@ -80,7 +83,8 @@ def load(spark: SparkSession, pages: DataFrame, root: str, entity: str, batch: i
     one = reduce(DataFrame.crossJoin, counts)
     one.select("parsed", "inserted", "updated", "failed").write.mode("overwrite").parquet(f"{root}/outcomes/batch={batch}")
     versions.commit(spark, root, batch, touched)
-    drop_replaced(spark, root, entity, KEEP)
+    kept = {b: p.versions for b, p in known.items() if b is not None}
+    versions.clean(spark, f"{root}/raw", "bucket", kept | {b: [batch, *kept.get(b, [])][:KEEP] for b in touched})
 
 
 def _of_batches(spark: SparkSession, root: str, name: str, schema: str) -> DataFrame:
@@ -112,7 +116,8 @@ def dead_letters(spark: SparkSession, root: str, batch: int | None = None) -> Da
 
 def drop_replaced(spark: SparkSession, root: str, entity: str, keep: int = KEEP) -> int:
     """Delete versions of an entity's parts that at least ``keep`` newer ones replace, and what broken batches left; how many were deleted."""
-    return versions.clean(spark, root, f"{root}/raw", "bucket", keep)
+    kept = {b: p.versions for b, p in versions.state(spark, root, keep).items() if b is not None}
+    return versions.clean(spark, f"{root}/raw", "bucket", kept)
 
 
 def stream_load(spark: SparkSession, lake_root: str, root: str, entity: str, checkpoint: str, pages: DataFrame | None = None) -> None:

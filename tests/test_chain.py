@@ -259,14 +259,14 @@ def test_refresh_writes_what_changed(spark, chain, tmp_path):
     empty = spark.createDataFrame([], "status string, updated_at timestamp"), spark.createDataFrame([], "called_at timestamp")
     todo = [m for m in build.models(*empty, as_of) if m.name != "rpt_pipeline_freshness"]
     build.run(spark, todo, raw, out)
-    written = lambda: {str(p.relative_to(out)).rsplit("/", 1)[0] for p in Path(out).rglob("fct_*/data/*/*/*.parquet")}
+    written = lambda: {str(p.relative_to(out)).rsplit("/", 1)[0] for p in Path(out).rglob("fct_*/*/*/*.parquet")}
     before = written()
     later = F.lit(spark.sql("select current_timestamp()").first()[0])
     hit = (F.col("season") == "2031") & (F.col("round") == "1") & (F.col("driver_id") == "ada")
     amended = raw["results"].withColumns({"payload": F.when(hit, F.regexp_replace("payload", '"points":"8"', '"points":"7.5"')).otherwise(F.col("payload")), "updated_at": F.when(hit, later).otherwise(F.col("updated_at"))})
     known = raw["drivers"].filter("driver_id = 'ada'").withColumn("driver_id", F.lit("zed"))
     tables, report = build.run(spark, todo, raw | {"results": amended}, out, refresh=True)
-    assert written() - before == {"fct_results/data/version=2/season=2031", "fct_results/data/version=2/season=2032"}  # 2032 holds an unknown driver
+    assert written() - before == {"fct_results/version=2/season=2031", "fct_results/version=2/season=2032"}  # 2032 holds an unknown driver
     tables, report = build.run(spark, todo, raw | {"results": amended, "drivers": raw["drivers"].unionByName(known)}, out, refresh=True)
     assert {r.model: (r.status, r.parts) for r in report.collect() if r.model.startswith("fct")} == {"fct_results": ("built", 1), "fct_sprint_results": ("unchanged", 0), "fct_driver_standings": ("unchanged", 0), "fct_constructor_standings": ("unchanged", 0)}
     assert quality.no_unknown_members(tables["fct_results"], ["driver_key"]).isEmpty()
