@@ -44,7 +44,7 @@ def amended(raw: DataFrame) -> DataFrame:
 
 
 def load_pattern(raw: DataFrame, entity: str, snapshot: bool = False) -> DataFrame:
-    """How an entity behaves, from its amendment rate: immutable, mutable reference or snapshot."""
-    rate = F.count_if(F.col("updated_at") > F.col("ingested_at")) / F.count("*")
+    """How an entity behaves, from its amendment rate: immutable, mutable reference or snapshot. Without rows the rate is null."""
+    rate = F.try_divide(F.count_if(F.col("updated_at") > F.col("ingested_at")), F.count("*"))
     kind = F.lit("snapshot") if snapshot else F.when(rate > 0, "mutable reference").otherwise("immutable")
     return raw.agg(F.lit(entity).alias("entity"), rate.alias("amendment_rate"), kind.alias("pattern"))

@@ -419,6 +419,17 @@ def resume_plan(spark: SparkSession, sf: str) -> DataFrame:
     return state.pending_scopes(marks.select("entity", "scope"), marks)
 
 
+@query("resume_gaps", _PAGES + "SELECT 'orders' AS entity, scope, 100::INT AS start, least(200, n)::INT AS stop FROM a WHERE lossy UNION ALL SELECT 'orders', 'new', 0, NULL")
+def resume_gaps(spark: SparkSession, sf: str) -> DataFrame:
+    """What is left to fetch after pages landed out of order in two batches, and of a scope that hasn't begun."""
+    none = spark.createDataFrame([], "entity string, scope string, next_offset int, total_expected int, status string, started_at timestamp, updated_at timestamp")
+    pages = _pages(spark, sf)
+    late = state.advance_checkpoints(none, pages.filter("offset % 200 = 0"), _now())
+    marks = state.advance_checkpoints(late, pages.filter("offset % 200 <> 0"), _now())
+    new = spark.createDataFrame([("orders", "new")], "entity string, scope string")
+    return state.resume_gaps(marks.select("entity", "scope").unionByName(new), marks)
+
+
 _ROUNDS = f"WITH m AS (SELECT DISTINCT year(o_orderdate)::INT AS season, month(o_orderdate)::INT AS round FROM orders), g AS (SELECT *, round % 5 = 0 OR make_date(season, round, 1) <= DATE '{AS_OF}' AS go FROM m) "
 
 
@@ -618,7 +629,7 @@ def _profile(spark: SparkSession, sf: str) -> DataFrame:
         state.alias("State"), legs.alias("Legs"),
     )
     rows = _t(spark, sf, "orders").select(F.col("o_orderkey").alias("id"), F.to_json(json).alias("json"))
-    return profile.profile_fields(profile.flatten(rows, "id", "json"), "id", rows.count())
+    return profile.profile_fields(rows, "id", "json")
 
 
 @query(
@@ -662,6 +673,24 @@ def join_coverage(spark: SparkSession, sf: str) -> DataFrame:
     return profile.join_coverage(_t(spark, sf, "lineitem"), "l_suppkey", _t(spark, sf, "supplier").filter("s_suppkey % 7 <> 0"), "s_suppkey")
 
 
+EDGES = [profile.Edge("lineitem", "l_suppkey", "seventh", "s_suppkey"), profile.Edge("lineitem", "l_partkey", "orders", "o_orderkey"), profile.Edge("lineitem", "l_orderkey", "orders", "o_orderkey"), profile.Edge("orders", "o_custkey", "customer", "c_custkey")]
+
+
+def _edge(e: profile.Edge, where: str = "true") -> str:
+    parent = "supplier" if e.parent == "seventh" else e.parent
+    return f"""SELECT '{e.name}' AS edge, t.c AS checked, coalesce(m.c, 0)::BIGINT AS missing, round((t.c - coalesce(m.c, 0))::DECIMAL(18,4) * 100 / t.c, 4)::DECIMAL(9,4) AS coverage_pct, coalesce(m.d, 0)::BIGINT AS distinct_missing, m.x AS examples
+    FROM (SELECT count({e.column}) AS c FROM {e.child}) t, (SELECT sum(n) AS c, count(*) AS d, (SELECT string_agg(v::VARCHAR, ',' ORDER BY n DESC, v::VARCHAR) FROM (SELECT * FROM g ORDER BY n DESC, v::VARCHAR LIMIT 10)) AS x FROM g) m""".replace(
+        "FROM g", f"FROM (SELECT {e.column} AS v, count(*) AS n FROM {e.child} WHERE {e.column} NOT IN (SELECT {e.key} FROM {parent} WHERE {where}) GROUP BY 1) g"
+    )
+
+
+@query("coverage_edges", " UNION ALL ".join(_edge(e, "s_suppkey % 7 <> 0" if e.parent == "seventh" else "true") for e in EDGES))
+def coverage_edges(spark: SparkSession, sf: str) -> DataFrame:
+    """Four foreign keys, three of them of the lines, which are scanned once."""
+    tables = {n: _t(spark, sf, n) for n in ("lineitem", "orders", "customer")} | {"seventh": _t(spark, sf, "supplier").filter("s_suppkey % 7 <> 0")}
+    return profile.coverage_edges(tables, EDGES)
+
+
 @query("presence_by_bucket", "SELECT ((year(o_orderdate) // 10) * 10)::INT::VARCHAR AS bucket, count(*) AS rows, count(*) FILTER (WHERE o_orderstatus <> 'O') AS status FROM orders GROUP BY 1")
 def presence_by_bucket(spark: SparkSession, sf: str) -> DataFrame:
     rows = _t(spark, sf, "orders").withColumn("status", F.when(F.col("o_orderstatus") == "O", "").otherwise(F.col("o_orderstatus")))
