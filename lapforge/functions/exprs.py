@@ -10,6 +10,15 @@ KEY_SEPARATOR = "-"
 KEY_NULL = "_dbt_utils_surrogate_key_null_"
 
 
+#: Collation that names are ordered by, in ties and reports: letters with accents stand beside those without.
+NAME_ORDER = "UNICODE"
+
+
+def by_name(name: str | Column) -> Column:
+    """A name as it is ordered and compared; the text itself stays plain."""
+    return F.collate(F.col(name) if isinstance(name, str) else name, NAME_ORDER)
+
+
 def surrogate_key(*parts: str | Column) -> Column:
     """md5 over the parts as text; a null part has a token of its own."""
     cols = [F.col(p) if isinstance(p, str) else p for p in parts]

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from lapforge.functions import exprs as x
 from lapforge.operators import extract, fused, merge, profile, quality, state
 from lapforge.plans import dashboards as d
-from lapforge.plans import marts, store
+from lapforge.plans import marts, serving, store
 from lapforge.sources import lake
 from lapforge.sources.entities import EntitySpec
 from lapforge.streaming import loader
@@ -169,6 +169,38 @@ def v4(spark: SparkSession, sf: str) -> DataFrame:
     return d.grid_vs_finish(results(spark, sf), drivers(spark, sf), 20)
 
 
+def _served(spark: SparkSession, sf: str) -> None:
+    """The marts of the test tables under the names that SQL users know."""
+    serving.register(spark, {"fct_results": results(spark, sf), "dim_status": statuses(spark, sf), "dim_constructor": nations(spark, sf).drop("driver_key"), "dim_driver": drivers(spark, sf)})
+
+
+@query("sql_progression", ORACLES["v1_progression"].removeprefix(_WITH))
+def sql_progression(spark: SparkSession, sf: str) -> DataFrame:
+    """V1 through its SQL function; the season comes as an argument of the statement."""
+    months = calendar(spark, sf).withColumns({"is_unknown": F.lit(False), "has_been_run": F.lit(True)})
+    serving.register(spark, {"fct_driver_standings": standings(spark, sf), "dim_driver": nations(spark, sf), "dim_race": months})
+    return spark.sql("SELECT * FROM championship_progression(season => :season)", args={"season": 1997})
+
+
+@query("sql_causes", ORACLES["v3_causes"].removeprefix(_WITH))
+def sql_causes(spark: SparkSession, sf: str) -> DataFrame:
+    _served(spark, sf)
+    return spark.sql("SELECT * FROM why_cars_retire(decade => 1990)")
+
+
+@query("sql_grid", ORACLES["v4_grid_vs_finish"].removeprefix(_WITH))
+def sql_grid(spark: SparkSession, sf: str) -> DataFrame:
+    _served(spark, sf)
+    return spark.sql("SELECT * FROM grid_vs_finish(min_races => 20)")
+
+
+@query("sql_eras", "SELECT decade, status_category AS cause, count(*) AS retirements FROM results, (SELECT DISTINCT (season // 10 * 10)::INT AS decade FROM results) WHERE season BETWEEN decade AND decade + 9 AND status_category <> 'withdrawn_or_dns' AND NOT is_classified GROUP BY ALL")
+def sql_eras(spark: SparkSession, sf: str) -> DataFrame:
+    """A served function called for each decade of another query."""
+    _served(spark, sf)
+    return spark.sql("SELECT d.decade, c.cause, c.retirements FROM (SELECT DISTINCT season - season % 10 AS decade FROM fct_results) AS d, LATERAL why_cars_retire(d.decade) AS c")
+
+
 def _log(spark: SparkSession, sf: str) -> DataFrame:
     return _t(spark, sf, "events").select(F.col("ts").cast("timestamp").alias("called_at"), F.col("event_type").alias("entity"), "event_id")
 
@@ -230,6 +262,12 @@ def v10(spark: SparkSession, sf: str) -> DataFrame:
     return d.teammate_head_to_head(results(spark, sf), drivers(spark, sf), nations(spark, sf).drop("driver_key"), 1997, 1)
 
 
+@query("sql_duels", ORACLES["v10_head_to_head"].removeprefix(_WITH))
+def sql_duels(spark: SparkSession, sf: str) -> DataFrame:
+    _served(spark, sf)
+    return spark.sql("SELECT * FROM teammate_head_to_head(season => 1997, min_races => 1)")
+
+
 @query("r1_gap", "SELECT s.round, s.driver_key, s.points, (m.best - s.points)::DECIMAL(18,4) AS gap FROM standings s JOIN (SELECT round, max(points) AS best FROM standings WHERE season = 1997 GROUP BY 1) m USING (round) WHERE season = 1997 AND driver_key IN (SELECT driver_key FROM standings WHERE season = 1997 AND round = (SELECT max(round) FROM standings WHERE season = 1997) AND championship_position <= 3)")
 def r1(spark: SparkSession, sf: str) -> DataFrame:
     return d.gap_to_leader(standings(spark, sf), 1997)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lapforge.functions.exprs import decade as decade_of
-from lapforge.functions.exprs import ratio
+from lapforge.functions.exprs import by_name, ratio
 
 STARTER = "status_category <> 'withdrawn_or_dns'"
 
@@ -56,7 +56,7 @@ def grid_vs_finish(results: DataFrame, drivers: DataFrame, min_races: int = 100,
     named = rows.filter(F.col("races_counted") >= min_races).join(known, "driver_key")
     mean = lambda c, d: F.round(F.col(c).cast("decimal(18,6)") / F.col("races_counted").cast("decimal(18,6)"), d).cast(f"decimal(18,{d})")
     out = named.select(F.col("full_name").alias("driver"), "races_counted", mean("g", 2).alias("avg_positions_gained"), mean("s", 1).alias("avg_grid"), "best_single_race")
-    return out.orderBy(F.desc("avg_positions_gained"), "driver").limit(top_n)
+    return out.orderBy(F.desc("avg_positions_gained"), by_name("driver")).limit(top_n)
 
 
 def data_freshness(report: DataFrame, as_of: Column) -> DataFrame:
@@ -74,13 +74,13 @@ def driver_standings_current(standings: DataFrame, drivers: DataFrame, construct
     """Latest snapshot; a driver's teams are joined by name."""
     now = standings.join(_last_round(standings), ["season", "round"])
     teams = now.select("driver_key", F.explode_outer("constructor_ids").alias("constructor_id")).join(constructors.select("constructor_id", "constructor_name"), "constructor_id", "left")
-    team = teams.groupBy("driver_key").agg(F.array_join(F.array_sort(F.collect_list("constructor_name")), " / ").alias("team"))
-    return now.join(team, "driver_key").join(drivers.select("driver_key", "full_name"), "driver_key").select(F.col("championship_position").alias("position"), F.col("full_name").alias("driver"), "team", "points", "wins", F.col("round").alias("after_round"), "is_unranked").orderBy(F.asc_nulls_last("position"), F.desc("points"), "driver")
+    team = teams.groupBy("driver_key").agg(F.collate(F.array_join(F.array_sort(F.collect_list(by_name("constructor_name"))), " / "), "UTF8_BINARY").alias("team"))
+    return now.join(team, "driver_key").join(drivers.select("driver_key", "full_name"), "driver_key").select(F.col("championship_position").alias("position"), F.col("full_name").alias("driver"), "team", "points", "wins", F.col("round").alias("after_round"), "is_unranked").orderBy(F.asc_nulls_last("position"), F.desc("points"), by_name("driver"))
 
 
 def constructor_standings_current(standings: DataFrame, constructors: DataFrame) -> DataFrame:
     now = standings.join(_last_round(standings), ["season", "round"])
-    return now.join(constructors.select("constructor_key", "constructor_name"), "constructor_key").select(F.col("championship_position").alias("position"), F.col("constructor_name").alias("team"), "points", "wins", F.col("round").alias("after_round")).orderBy(F.asc_nulls_last("position"), F.desc("points"), "team")
+    return now.join(constructors.select("constructor_key", "constructor_name"), "constructor_key").select(F.col("championship_position").alias("position"), F.col("constructor_name").alias("team"), "points", "wins", F.col("round").alias("after_round")).orderBy(F.asc_nulls_last("position"), F.desc("points"), by_name("team"))
 
 
 def calendar_growth(races: DataFrame) -> DataFrame:
@@ -92,7 +92,7 @@ def circuit_map(races: DataFrame, circuits: DataFrame) -> DataFrame:
     held = races.filter("has_been_run and not is_unknown").groupBy("circuit_key")
     held = held.agg(F.count("*").alias("races_held"), F.min("season").alias("first_season"), F.max("season").alias("last_season"))
     place = circuits.filter("not is_unknown").select("circuit_key", F.col("circuit_name").alias("circuit"), "locality", "country", "latitude", "longitude")
-    return held.join(place, "circuit_key").select("circuit", "locality", "country", "latitude", "longitude", "races_held", "first_season", "last_season").orderBy(F.desc("races_held"), "circuit")
+    return held.join(place, "circuit_key").select("circuit", "locality", "country", "latitude", "longitude", "races_held", "first_season", "last_season").orderBy(F.desc("races_held"), by_name("circuit"))
 
 
 def duels(a: DataFrame, b: DataFrame, on: list[str]) -> DataFrame:
@@ -104,7 +104,7 @@ def duels(a: DataFrame, b: DataFrame, on: list[str]) -> DataFrame:
 
 
 def head_to_head(pairs: DataFrame, by: list[str], drivers: DataFrame, min_races: int) -> DataFrame:
-    """Record of each pair: wins where both were classified, points over all shared races; leader by wins, then name."""
+    """Record of each pair: wins where both were classified, points over all shared races; leader by wins, then name, as names are ordered."""
     both = F.col("a_is_classified") & F.col("b_is_classified")
     agg = pairs.groupBy(*by, "a_driver_key", "b_driver_key").agg(
         F.count_if(both).alias("races_compared"), F.count_if(both & (F.col("a_classified_position") < F.col("b_classified_position"))).alias("a_wins"),
@@ -112,7 +112,7 @@ def head_to_head(pairs: DataFrame, by: list[str], drivers: DataFrame, min_races:
     ).filter(F.col("races_compared") >= min_races)
     name = lambda s: drivers.select(F.col("driver_key").alias(f"{s}_driver_key"), F.col("full_name").alias(f"{s}_name"))
     named = agg.join(name("a"), "a_driver_key").join(name("b"), "b_driver_key")
-    ahead = (F.col("a_wins") > F.col("b_wins")) | ((F.col("a_wins") == F.col("b_wins")) & (F.col("a_name") < F.col("b_name")))
+    ahead = (F.col("a_wins") > F.col("b_wins")) | ((F.col("a_wins") == F.col("b_wins")) & (by_name("a_name") < by_name("b_name")))
     pick = lambda c, first: F.when(ahead if first else ~ahead, F.col(f"a_{c}")).otherwise(F.col(f"b_{c}"))
     return named.select(*by, "races_compared", pick("name", True).alias("leader"), pick("wins", True).alias("leader_wins"), pick("name", False).alias("trailer"), pick("wins", False).alias("trailer_wins"), pick("points", True).alias("leader_points"), pick("points", False).alias("trailer_points"))
 
