@@ -14,23 +14,38 @@ from lapforge.llm import language, mixing, packing, simhash, toxicity
 from lapforge.llm.common import table, written
 
 
+#: Bytes of rows that a task hands to Python at a time. The default of 64 MB of whole texts is held several times over, in the
+#: executor's buffers and in Python, by every task of every stage.
+BATCH = "4m"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """A setting of the job, for this stage's plan and those after it."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH)
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return language.stage(docs)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return toxicity.stage(docs, table(spark, sf_dir, "labels"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return simhash.stage(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return mixing.stage(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return packing.stage(docs)
 
 
