@@ -16,7 +16,7 @@ from lapforge.functions import exprs as x
 from lapforge.operators import extract, fused, merge, profile, quality, state
 from lapforge.plans import dashboards as d
 from lapforge.plans import marts, serving, store
-from lapforge.sources import lake
+from lapforge.sources import lake, versions
 from lapforge.sources.entities import EntitySpec
 from lapforge.streaming import loader
 
@@ -41,23 +41,28 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
-#: Paths of the marts stored in this session, by application, table folder and name.
-_STORED: dict[tuple[str, str, str], str] = {}
+#: Marts stored in this session, by application, table folder and name: what their tables looked like, and the path.
+_STORED: dict[tuple[str, str, str], tuple[tuple, str]] = {}
+_READ = ("lineitem", "orders", "supplier", "nation")
 #: Status text of each outcome of the test tables.
 CAUSES = {"withdrawn_or_dns": "Withdrew", "collision": "Collision", "mechanical": "Gearbox", "lapped": "Lapped", "finished": "Finished"}
 
 
 def mart(*partition_by: str) -> Callable[[Query], Query]:
-    """Store the table of a function once a session and folder; every query reads it from there."""
+    """Store the table of a function once a session and folder; every query reads it from there. It is built anew, and the old one deleted, when files of the tables change."""
 
     def register(build: Query) -> Query:
         def read(spark: SparkSession, sf: str) -> DataFrame:
             key = (spark.sparkContext.applicationId, sf, build.__name__)
-            if key in _STORED:
-                return spark.read.parquet(_STORED[key])
+            now = tuple(versions.stamp(spark, f"{sf}/{n}.parquet") for n in _READ)
+            known, path = _STORED.get(key, (None, ""))
+            if known == now:
+                return spark.read.parquet(path)
+            if path:
+                versions.delete(spark, path)
             path = store.new_folder(spark, build.__name__)
             out = store.write_table(build(spark, sf), path, partition_by)
-            _STORED[key] = path
+            _STORED[key] = now, path
             return out
 
         return read

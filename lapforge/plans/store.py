@@ -37,9 +37,13 @@ def new_folder(spark: SparkSession, tag: str) -> str:
 def write_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Store ``df`` as a table in ``path``, replacing what is there, and read it back.
 
-    ``path`` must not be one that ``df`` reads. Columns of ``partition_by`` become
-    folders, so that filters on them prune what is read.
+    A ``path`` that ``df`` reads is refused. Readers see nothing while it is replaced:
+    where they must, use versions (``lapforge.plans.build``). Columns of
+    ``partition_by`` become folders, so that filters on them prune what is read.
     """
+    bare = lambda p: "/" + p.split(":", 1)[-1].strip("/")
+    if any(f"{bare(f)}/".startswith(f"{bare(path)}/") for f in df.inputFiles()):
+        raise ValueError(f"the table reads what is in {path}; store it elsewhere")
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 

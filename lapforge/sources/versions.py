@@ -98,3 +98,13 @@ def clean(spark: SparkSession, data: str, column: str | None, kept: dict[str, li
         if len(gone) == len(parts) and number < last:
             delete(spark, f"{data}/{folder}")
     return deleted
+
+
+def stamp(spark: SparkSession, path: str) -> tuple[tuple[str, int, int], ...]:
+    """Name, size and time of every file in a folder or of a file: what changes when its rows do."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    out: list[tuple[str, int, int]] = []
+    for s in store.listStatus(where) if store.exists(where) else []:
+        out += stamp(spark, s.getPath().toString()) if s.isDirectory() else [(s.getPath().getName(), s.getLen(), s.getModificationTime())]
+    return tuple(sorted(out))

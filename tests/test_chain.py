@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lapforge.functions import exprs
 from lapforge.operators import profile, quality, state
-from lapforge.plans import build, dashboards, marts
+from lapforge.plans import bindings, build, dashboards, marts
 from lapforge.plans.store import write_table
 from lapforge.sources import lake
 from lapforge.sources.entities import ENTITIES
@@ -228,6 +228,8 @@ def test_write_table_replaces(spark, tmp_path):
     path = str(tmp_path / "t")
     write_table(spark.range(5), path)
     out = write_table(spark.createDataFrame([(1, 2031), (2, 2032)], "k int, season int"), path, ("season",))
+    with pytest.raises(ValueError, match="reads what is in"):
+        write_table(out.filter("k = 1"), path)
     assert out.columns == ["k", "season"] and rows(out.filter("season = 2032")) == [(2, 2032)]
 
 
@@ -273,3 +275,18 @@ def test_refresh_writes_what_changed(spark, chain, tmp_path):
     assert sorted(str(r.points) for r in tables["fct_results"].filter("season = 2031 and round = 1").collect()) == ["2.0000", "4.0000", "6.0000", "7.5000"]
     tables, report = build.run(spark, todo, raw | {"results": amended, "drivers": raw["drivers"].unionByName(known)}, out, refresh=True)
     assert {r.status for r in report.collect() if r.model.startswith("fct")} == {"unchanged"}
+
+
+def test_rounds_in_the_order_of_numbers(spark):
+    races = spark.createDataFrame([(2031, r, "2031-01-01") for r in ("10", "2", "1", "11")], "season int, round string, race_date string")
+    assert [r.round for r in state.run_rounds(races, F.lit("2032-01-01").cast("date")).collect()] == [1, 2, 10, 11]
+
+
+def test_stored_marts_follow_their_tables(spark, tmp_path):
+    """A table that changes in a session changes what is served from it."""
+    for n in ("lineitem", "orders", "supplier", "nation"):
+        spark.read.parquet(f"/root/testdata/sf0.001/{n}.parquet").limit(500 if n == "lineitem" else 10_000).write.parquet(f"{tmp_path}/{n}.parquet")
+    before = bindings.results(spark, str(tmp_path)).count()
+    assert bindings.results(spark, str(tmp_path)).inputFiles() == bindings.results(spark, str(tmp_path)).inputFiles()
+    spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").write.mode("overwrite").parquet(f"{tmp_path}/lineitem.parquet")
+    assert bindings.results(spark, str(tmp_path)).count() > before
