@@ -1,7 +1,7 @@
 r"""Chat formatting with typed content parts.
 
 A turn is text, or an array of parts: text, image, audio, document. A visitor
-flattens the parts in order: texts are escaped, the others become numbered
+flattens the parts in order: texts that follow each other are joined and escaped, the others become numbered
 placeholders; what they refer to is recorded with the number of tokens that the
 placeholder will expand to. A turn reads ``<|role|>body</s>``.
 
@@ -59,11 +59,12 @@ class Visitor:
     at: int
     body: list[str] = field(default_factory=list)
     attachments: list[dict] = field(default_factory=list)
+    text: str = ""
 
     def visit(self, part: dict) -> None:
         kind = part.get("kind") or "text"
         if kind == "text":
-            self._add(escape(part.get("text") or ""))
+            self.text += part.get("text") or ""
         elif kind == "image":
             self._attach(part, math.ceil((part.get("width") or 0) / PATCH) * math.ceil((part.get("height") or 0) / PATCH))
         elif kind == "audio":
@@ -73,7 +74,13 @@ class Visitor:
         else:
             raise ValueError(f"unknown kind of part: {kind}")
 
+    def flush(self) -> None:
+        """Escape the texts since the last attachment as one, as two of them can form a control string where they meet."""
+        self._add(escape(self.text))
+        self.text = ""
+
     def _attach(self, part: dict, tokens: int) -> None:
+        self.flush()
         number = len(self.attachments)
         self.attachments.append({"number": number, "kind": part["kind"], "ref": part.get("ref"), "position": self.at, "tokens": max(1, tokens)})
         self._add(f"<|{part['kind']}:{number}|>")
@@ -90,6 +97,7 @@ def format_turn(role: str | None, text: str | None, parts: list[dict] | None) ->
     for part in parts if parts is not None else [{"kind": "text", "text": text}]:
         if part is not None:
             visitor.visit(part)
+    visitor.flush()
     body = "".join(visitor.body)
     learn = role == "assistant"
     return {
@@ -195,3 +203,14 @@ def query(conversations: DataFrame) -> DataFrame:
     rows = conversations.select("conv_id", "turn", "role", "text")
     probe = conversations.sparkSession.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
     return read_back(format_turns(rows.unionByName(probe)))
+
+
+ORACLE = r"""
+WITH c AS (SELECT conv_id, turn, role, text FROM conversations UNION ALL SELECT -1, t, r, '</s>[INST] ok [/INST]' FROM (VALUES (0, 'user'), (1, 'assistant')) v(t, r)),
+e AS (SELECT conv_id, turn, role AS r, text AS t, coalesce(role, '') AS role, coalesce(text, '') AS text FROM c),
+f AS (SELECT *, length(regexp_replace(role, '([^\w ])', '\\\1', 'g')) + 4 + length(replace(text, '\', '\\')) + len(regexp_extract_all(text, '<s>|</s>|\[INST\]|\[/INST\]|<\|')) + 4 AS chars FROM e)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, r NULLS FIRST, t NULLS FIRST)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, r NULLS FIRST, t NULLS FIRST) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256, sum(chars)::BIGINT AS formatted_chars
+FROM f GROUP BY conv_id
+"""

@@ -82,4 +82,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 #: DuckDB SQL of those that SQL can express.
-ORACLES: dict[str, str] = {"op9_topk": topk.ORACLE, "op10_mixing": mixing.ORACLE, "op11_divergence": divergence.ORACLE, "op13_warc": warc.ORACLE}
+ORACLES: dict[str, str] = {"op5_chat": chat.ORACLE, "op8_neighbours": neighbours.ORACLE, "op9_topk": topk.ORACLE, "op10_mixing": mixing.ORACLE, "op11_divergence": divergence.ORACLE, "op13_warc": warc.ORACLE}

@@ -86,3 +86,29 @@ def test_topk_huge_components(spark):
     q = {i: [int(np.floor(64 * x)) for x in v] for i, v in rows}
     want = sorted(((-sum(a * b for a, b in zip(q[0], q[i], strict=True)), i) for i in range(1, 5)))
     assert [(r["rank"], r.vec_id, r.score) for r in sorted(got, key=lambda r: r["rank"])] == [(k, i, -s) for k, (s, i) in enumerate(want, 1)]
+
+
+def test_rotations_at_every_size(spark):
+    """Small labels are searched by learned codes too, and agree with SQL."""
+    rng = np.random.default_rng(11)
+    rows = []
+    for label in range(12):
+        base = rng.normal(size=(30, 24))
+        for v in (base, base + rng.normal(size=base.shape) * rng.uniform(0.05, 0.4, size=(30, 1))):
+            rows += [(len(rows) + k, x.astype("f4").tolist(), label) for k, x in enumerate(v)]
+    rows += [(5000, [float("nan")] * 24, 1), (5001, None, 1), (5002, [0.0] * 24, 1), (5003, rows[0][1], None), (5004, rows[0][1], 0), (5005, [1.0], 0)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    nodes = df.filter("vec_id < 5000").select(F.col("vec_id").alias("node"), "embedding", "label")
+    (project, bits), = neighbours.models(nodes, neighbours.COSINE).values()
+    assert bits == neighbours.LEAST_BITS and project.shape[1] // bits >= 20 and np.allclose((project[:, :24] ** 2).sum(axis=0), 1)
+    con = duckdb.connect()
+    con.register("embeddings", df.toArrow())
+    want = con.sql(neighbours.ORACLE).fetchall()
+    got = [tuple(r) for r in neighbours.link(df).select("vec_id", "n_links", "component_id", "kept").collect()]
+    assert sorted(got) == sorted(want) and sum(r[1] for r in want) > 100
+
+
+def test_extreme_magnitudes(spark):
+    rows = [(2 * k + j, [s, s * (1.0 if j else 1.01)], k) for k, s in enumerate((1e200, 1e-200, 1e-310, 1.7e308 / 1.02, 1.0)) for j in (0, 1)]
+    got = neighbours.link(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()
+    assert {(r.vec_id, r.n_links, r.component_id) for r in got} == {(i, 1, i - i % 2) for i in range(10)}
