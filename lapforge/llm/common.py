@@ -1,8 +1,9 @@
 """Helpers that several operators share: shared storage, text batches, word splitting.
 
 Every operator reads only the columns that it names, so further columns of the
-input never matter; where rows pass through, a column of the same name as one
-that the operator adds is replaced by it.
+input never matter. Where an operator adds columns, one of the same name is
+replaced; where a stage returns the columns it was given, each comes back as it
+was, whatever its name (``set_aside``).
 """
 
 from __future__ import annotations
@@ -125,6 +126,14 @@ def appended(df: DataFrame, fields: list[T.StructField], work: Callable[[pa.Reco
     return kept.mapInArrow(run, schema)
 
 
+def set_aside(docs: DataFrame, *names: str) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``docs`` with columns of the names that a stage needs for itself, or that aren't plain names, renamed, and what gives the columns of ``docs`` back from its result."""
+    taken = {n.lower() for n in names}
+    own = {c: f"_own_{k}" if c.lower() in taken or not c.isidentifier() else c for k, c in enumerate(docs.columns)}
+    renamed = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in own.items()])
+    return renamed, lambda df: df.select(*[F.col(f"`{n}`").alias(c) for c, n in own.items()])
+
+
 def window(text: str, chars: int) -> Column:
     """A text of over ``chars`` characters is cut to as many from a place that its hash chooses; others stay whole."""
     over = F.length(text) - F.lit(chars)

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lapforge.llm.common import appended, ready, remainder, texts_of, window
+from lapforge.llm.common import appended, ready, remainder, set_aside, texts_of, window
 
 #: Bounds of the training sample: texts a language, characters a language, of one text, and of all languages.
 TRAIN_DOCS = 160
@@ -218,11 +218,15 @@ def query(docs: DataFrame) -> DataFrame:
 
 
 def stage(docs: DataFrame) -> DataFrame:
-    """Reject the documents without any letter: ``und``, or, where no language could be learned, so by their text."""
+    """Reject the documents without any letter: ``und``, or, where no language could be learned, so by their text.
+
+    Null and empty texts are rejected, repeated rows handled each; columns come back as they were, an empty table stays empty.
+    """
     model = fit(docs)
     if not model.languages:
         return docs.filter(F.col("text").rlike(r"\p{L}"))
-    return identify(docs, model).filter(F.col("lang_pred") != "und").select(*docs.columns)
+    rows, given = set_aside(docs, "lang_pred", "lang_score")
+    return given(identify(rows, model).filter(F.col("lang_pred") != "und"))
 
 
 __all__ = ["Model", "automaton", "fit", "identify", "phrases", "predict_batch", "query", "stage"]

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lapforge.llm.common import written
+from lapforge.llm.common import set_aside, written
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -30,10 +30,10 @@ MOST_SHARED = 65_536
 
 
 def sized(docs: DataFrame, uid: Column | None = None) -> DataFrame:
-    """uid, doc_id, source, size. Rows are numbered here, for this table only, unless a column with their uid is given."""
+    """uid, doc_id, source, size, and the text's digest. Rows are numbered here, for this table only, unless a column with their uid is given."""
     uid = F.monotonically_increasing_id() if uid is None else uid
     size = F.coalesce(F.regexp_count(F.col("text"), F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
-    return docs.select(uid.alias("uid"), "doc_id", "source", size.alias("size"))
+    return docs.select(uid.alias("uid"), "doc_id", "source", size.alias("size"), F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("digest"))
 
 
 def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
@@ -75,13 +75,14 @@ def take(sizes: DataFrame, goal: DataFrame) -> DataFrame:
     """Add source_size, target and ``taken`` (words, repeats counted) to every row of ``sizes``.
 
     Whole copies are taken, at most two of a document. Documents without words
-    take part in nothing: taken is 0. Order within a source: hash of id and copy,
-    then id, size, row; equal rows can stand for each other.
+    take part in nothing: taken is 0. Order within a source: hash of id, text and copy,
+    so that rows without an id or with the same one are spread too, then id, size,
+    row; equal rows can stand for each other.
     """
     parts = _ranges(sizes.count())
     joined = sizes.join(goal, sizes["source"].eqNullSafe(goal["source"]), "left").drop(goal["source"])
     copies = joined.filter("size > 0").withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2))))
-    key = F.md5(F.concat_ws("#", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "copy"))
+    key = F.md5(F.concat_ws("#", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "digest", "copy"))
     copies = copies.withColumn("key", key).withColumn("part", _part(F.col("key"), parts))
     sums = copies.groupBy("rank", "copy", "part").agg(F.sum("size").alias("words"))
     before = Window.partitionBy("rank").orderBy("copy", "part").rowsBetween(Window.unboundedPreceding, -1)
@@ -108,15 +109,20 @@ def query(docs: DataFrame) -> DataFrame:
 
 
 def stage(docs: DataFrame) -> DataFrame:
-    """Documents of the mix, each as many times as it is taken. Rows are numbered once and written."""
+    """Documents of the mix, each as many times as it is taken. Rows are numbered once and written.
+
+    Null and empty texts have no words and are not taken, repeated rows are taken each;
+    columns come back as they were, an empty table stays empty.
+    """
+    docs, given = set_aside(docs, "uid", "copy", "copies")
     numbered = written(docs.withColumn("uid", F.monotonically_increasing_id()), "numbered")
     sizes = written(sized(numbered, F.col("uid")), "sizes")
     copies = take(sizes, targets(sizes)).filter("taken > 0").select("uid", (F.col("taken") / F.col("size")).cast("int").alias("copies"))
-    return numbered.join(copies, "uid").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*docs.columns)
+    return given(numbered.join(copies, "uid").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))))
 
 
 ORACLE = r"""
-WITH d AS (SELECT row_number() OVER () AS rid, doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents),
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, source, md5(coalesce(text, '')) AS digest, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS rank FROM d GROUP BY source),
 w AS (SELECT *, CASE (rank - 1) % 3 WHEN 0 THEN 5.0::DOUBLE WHEN 1 THEN 2.0::DOUBLE ELSE 1.0::DOUBLE END AS weight, source_size * 2.0::DOUBLE AS cap FROM s),
 l AS (SELECT *, sum(source_size) OVER () * 1.5::DOUBLE AS budget,
@@ -124,7 +130,7 @@ l AS (SELECT *, sum(source_size) OVER () * 1.5::DOUBLE AS budget,
   sum(weight) OVER () - sum(weight) OVER (ORDER BY cap / weight, rank ROWS UNBOUNDED PRECEDING) + weight AS remains FROM w),
 v AS (SELECT *, (budget - before) / remains AS level FROM l),
 t AS (SELECT source, rank, source_size, budget, least(weight * (SELECT coalesce(max(level), 0) FROM v WHERE level <= cap / weight), cap) AS target FROM v),
-c AS (SELECT d.rid, d.doc_id, d.size, t.rank, t.target, t.budget, k.copy, md5(concat(coalesce(d.doc_id::VARCHAR, ''), '#', k.copy)) AS key
+c AS (SELECT d.rid, d.doc_id, d.size, t.rank, t.target, t.budget, k.copy, md5(concat(coalesce(d.doc_id::VARCHAR, ''), '#', d.digest, '#', k.copy)) AS key
   FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source CROSS JOIN (VALUES (1), (2)) k(copy) WHERE d.size > 0),
 f AS (SELECT *, (sum(size) OVER (PARTITION BY rank ORDER BY copy, key, doc_id, size, rid ROWS UNBOUNDED PRECEDING))::DOUBLE / target AS time FROM c),
 g AS (SELECT *, sum(size) OVER (ORDER BY time, rank, copy, key, doc_id, size, rid ROWS UNBOUNDED PRECEDING) AS reached FROM f),

@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lapforge.llm.common import appended, picked, ready, texts_of, written
+from lapforge.llm.common import appended, picked, ready, set_aside, texts_of, written
 from lapforge.llm.components import components
 
 RADIUS = 4
@@ -391,8 +391,10 @@ def stage(docs: DataFrame) -> DataFrame:
     more (``alike``), directly or by way of others. Repeated rows are copies;
     rows that share an id (or have none) but not their text are not. Rows are
     numbered once and written, as numbers given anew follow how files are dealt out.
+    Columns come back as they were; an empty table stays empty.
     """
+    docs, given = set_aside(docs, "uid")
     numbered = written(docs.withColumn("uid", F.monotonically_increasing_id()), "numbered")
     kept = alike(numbered).groupBy("root").agg(F.min("best").alias("best")).select(F.col("best.uid").alias("uid"))
     gone = written(numbered.select("uid").join(kept, "uid", "left_anti"), "gone")
-    return picked(numbered, gone, "left_anti").select(*docs.columns)
+    return given(picked(numbered, gone, "left_anti"))
