@@ -10,6 +10,7 @@ the document's score is a logistic function of the odds that any token is toxic.
 
 from __future__ import annotations
 
+import pickle
 import re
 import zlib
 from dataclasses import dataclass, field
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lapforge.llm.common import appended, ready, remainder, texts_of, window, words_of
+from lapforge.llm.common import appended, ready, remainder, set_aside, texts_of, window, words_of
 
 #: Bounds of the training sample.
 TRAIN_DOCS = 1_000
@@ -211,20 +212,31 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
 
     A bounded sample: of each label the ``TRAIN_DOCS`` ids with the smallest
     hashes among those that have a text; of texts of over ``TRAIN_DOC_CHARS``
-    characters a window is read. Null labels are ignored, of contradicting ones
-    the highest counts. Without both labels every score is constant.
+    characters a window is read. One task learns from the sample, so that the driver
+    holds none of it. Null labels are ignored, of contradicting ones
+    the highest counts. Without both labels every score is constant. Ids are
+    numbers or texts; where docs and labels differ in that, they meet as texts.
     """
+    docs, labels = docs.select("doc_id", "text"), labels.select("doc_id", "toxic")
+    if docs.schema["doc_id"].dataType != labels.schema["doc_id"].dataType:
+        docs, labels = (df.withColumn("doc_id", F.col("doc_id").cast("string")) for df in (docs, labels))
     ids = labels.filter("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     near = ids.join(docs.filter("text is not null").select("doc_id"), "doc_id", "left_semi").withColumn("h", F.xxhash64("doc_id"))
     picked = [r for k in (0, 1) for r in near.filter(F.col("toxic") == k).orderBy("h", "doc_id").limit(TRAIN_DOCS).collect()]
-    label = {r["doc_id"]: r["toxic"] for r in picked}
-    chosen = docs.sparkSession.createDataFrame([(k,) for k in label], "doc_id long")
-    texts = docs.select("doc_id", window("text", TRAIN_DOC_CHARS).alias("text")).filter("text is not null").join(F.broadcast(chosen), "doc_id", "left_semi")
-    rows = texts.groupBy("doc_id").agg(F.min("text").alias("text")).withColumn("h", F.xxhash64("doc_id")).orderBy("h", "doc_id").collect()
-    rows = [r for k in (0, 1) for r in rows if label[r["doc_id"]] == k]
-    words = [_WORD.findall(_lower(r["text"])) for r in rows]
-    toxic = [label[r["doc_id"]] == 1 for r in rows]
-    return train(words, token_labels(words, toxic), toxic)
+    kind = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), T.StructField("toxic", T.IntegerType())])
+    chosen = docs.sparkSession.createDataFrame([(r["doc_id"], r["toxic"]) for r in picked], kind)
+    texts = docs.select("doc_id", window("text", TRAIN_DOC_CHARS).alias("text")).filter("text is not null").join(F.broadcast(chosen), "doc_id")
+    rows = texts.groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).withColumns({"h": F.xxhash64("doc_id"), "sample": F.lit(0)})
+
+    def learned(sample: pa.Table) -> pa.Table:
+        sample = sample.sort_by([(c, "ascending") for c in ("toxic", "h", "doc_id")])
+        words = [_WORD.findall(_lower(t)) for t in sample.column("text").to_pylist()]
+        toxic = [k == 1 for k in sample.column("toxic").to_pylist()]
+        return pa.table({"model": pa.array([pickle.dumps(train(words, token_labels(words, toxic), toxic))], pa.binary())})
+
+    ready(docs.sparkSession)
+    found = rows.groupBy("sample").applyInArrow(learned, "model binary").first()
+    return train([], [], []) if found is None else pickle.loads(found["model"])
 
 
 def _lower(text: str) -> str:
@@ -288,8 +300,12 @@ def query(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def stage(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Keep the documents that score under 0.5."""
-    return tag(docs, fit(docs, labels)).filter("toxic_score < 0.5").select(*docs.columns)
+    """Keep the documents that score under 0.5.
+
+    Null and empty texts have no token and are kept, repeated rows are handled each; columns come back as they were.
+    """
+    rows, given = set_aside(docs, "toxic_score", "toxic_spans")
+    return given(tag(rows, fit(rows, labels)).filter("toxic_score < 0.5"))
 
 
 __all__ = ["Model", "fit", "marginals", "query", "stage", "tag", "tag_batch", "token_labels", "train"]
