@@ -179,11 +179,12 @@ def find_runs(codes: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarr
         ok = _enough(b, e, p)
         found.append(np.stack([b, e, p, i])[:, ok])
     b, e, p, i = np.concatenate(found, axis=1)
-    _, once = np.unique(np.stack([b, p]), axis=1, return_index=True)
-    b, e, p, i = b[once], e[once], p[once], i[once]
-    for k in range(len(b)):
-        if not np.array_equal(laid[b[k] : e[k] - p[k]], laid[b[k] + p[k] : e[k]]):  # two hashes met
-            b[k], e[k] = _exact(laid, int(i[k]), int(p[k]))
+    _, once, same = np.unique(np.stack([b, p]), axis=1, return_index=True, return_inverse=True)
+    same = same.ravel()
+    for k, c in enumerate(once.tolist()):
+        if not np.array_equal(laid[b[c] : e[c] - p[c]], laid[b[c] + p[c] : e[c]]):  # two hashes met, so these may be several runs
+            for c in np.flatnonzero(same == k).tolist():
+                b[c], e[c] = _exact(laid, int(i[c]), int(p[c]))
     ok = _enough(b, e, p)
     runs = np.unique(np.stack([origin[b[ok]], p[ok], e[ok] - b[ok]]), axis=1)
     return runs[0], runs[0] + runs[2], runs[1]

@@ -161,13 +161,13 @@ class _Inflated:
         self.file, self.used, self.unpack = file, 0, zlib.decompressobj(31)
         self.rest, self.tail = b"", b""
 
-    def piece(self) -> bytes:
-        """Next bytes; empty at the end of the member. Cut or damaged members raise ``zlib.error``."""
+    def piece(self, most: int = READ_BYTES) -> bytes:
+        """Next bytes, ``most`` at most; empty at the end of the member. Cut or damaged members raise ``zlib.error``, but not before the place."""
         while not self.unpack.eof:
             data = self.tail or self.file.read(READ_BYTES)
             if not data:
                 raise zlib.error("the member is cut")
-            out = self.unpack.decompress(data, READ_BYTES)
+            out = self.unpack.decompress(data, most)
             self.tail = self.unpack.unused_data if self.unpack.eof else self.unpack.unconsumed_tail
             self.used += len(data) - len(self.tail)
             if out:
@@ -178,7 +178,7 @@ class _Inflated:
         """Bytes up to and with ``mark``; None if it is not among the first ``most``."""
         seen = self.rest
         while (at := seen.find(mark)) < 0:
-            if len(seen) > most or not (more := self.piece()):
+            if len(seen) > most or not (more := self.piece(1024)):
                 self.rest = seen
                 return None
             seen += more
