@@ -7,7 +7,8 @@ of its bits differ, however tight the cluster that it lies in. The code is cut i
 chunks, one table each; rows of one label and dimension with an equal chunk meet in
 an entry of its table. Two vectors at the threshold differ in a bit with a chance of
 angle / pi, so bits a chunk follow the largest label, that entries stay small, and
-the number of chunks follows from the bits and ``RECALL``. What meets is reranked
+the number of chunks follows from the bits and ``RECALL``, which is the same for
+labels of every size. What meets is reranked
 with the original vectors in double precision; a pair counts in the first table only
 in which it meets.
 
@@ -24,6 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,10 +33,10 @@ from lapforge.llm.common import ready, written
 from lapforge.llm.components import components
 
 COSINE = 0.93
-#: Expected share of the pairs at the threshold that meet; closer ones meet more surely. Where no label has more vectors
-#: than a block, further tables cost little and nearly all meet.
-RECALL, SMALL_RECALL = 0.97, 0.99999
-LEAST_BITS, MOST_BITS = 8, 28
+#: Expected share of the pairs at the threshold that meet, for labels of every size; closer ones meet more surely.
+RECALL = 0.99999
+#: Bits a chunk: SPARE more than number the largest label, so that few vectors meet that aren't near.
+LEAST_BITS, SPARE_BITS, MOST_BITS = 8, 2, 28
 TRAIN_ROWS = 4_096
 ROUNDS = 30
 #: Vectors of more dimensions are first projected at random to as many.
@@ -44,10 +46,9 @@ BLOCK = 1_024
 
 def shape(rows: int, cosine: float) -> tuple[int, int]:
     """Bits a chunk and number of chunks for labels of up to ``rows`` vectors."""
-    bits = min(MOST_BITS, max(LEAST_BITS, int(rows - 1).bit_length()))
+    bits = min(MOST_BITS, max(LEAST_BITS, int(rows - 1).bit_length() + SPARE_BITS))
     same = (1 - np.arccos(np.clip(cosine, -1, 1)) / np.pi) ** bits
-    recall = SMALL_RECALL if rows <= BLOCK else RECALL
-    return bits, max(1, int(np.ceil(np.log(1 - recall) / np.log(1 - min(same, 1 - 1e-12)))))
+    return bits, max(1, int(np.ceil(np.log(1 - RECALL) / np.log(1 - min(same, 1 - 1e-12)))))
 
 
 def learn(sample: np.ndarray, bits: int) -> np.ndarray:
@@ -136,14 +137,16 @@ def models(nodes: DataFrame, cosine: float) -> dict[int, tuple[np.ndarray, int]]
     return {r["dims"]: (np.frombuffer(r["project"]).reshape(r["dims"], -1), shape(sizes[r["dims"]][1], cosine)[0]) for r in found}
 
 
-def _rerank(cosine: float, kind: str):  # noqa: ANN202
-    """Rows (key, dims, i, j, own, node, label, table, copies, chunks, vector) sorted by the first four -> (a, b, links)."""
+def _rerank(cosine: float, kind: str, shared: Broadcast[dict[int, tuple[np.ndarray, int]]]):  # noqa: ANN202
+    """Rows (key, dims, i, j, own, node, label, table, copies, vector) sorted by the first four -> (a, b, links).
+
+    Chunks are worked out anew, of vectors with a near one only, as they would be most of what is shuffled.
+    """
 
     def finish(rows: list[pa.RecordBatch], key: tuple) -> pa.RecordBatch | None:
         at = pa.Table.from_batches(rows)
         own, node, label, table, copies = (at.column(c).to_numpy() for c in ("own", "node", "label", "table", "copies"))
         _, dims, i, j = key
-        chunks = np.frombuffer(b"".join(at.column("chunks").to_pylist()), dtype="<u4").reshape(len(node), -1)
         x = np.frombuffer(b"".join(at.column("vector").to_pylist()), dtype=kind).reshape(-1, dims).astype(np.float64)
         x = unit_vectors(x)
         left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
@@ -154,10 +157,16 @@ def _rerank(cosine: float, kind: str):  # noqa: ANN202
         some = (a < b) if i == j else np.ones(len(a), dtype=bool)
         some &= (label[a] == label[b]) & (table[a] == table[b])
         a, b = a[some], b[some]
+        if not len(a):
+            return None
+        met, place = np.unique(np.concatenate([a, b]), return_inverse=True)
+        project, bits = shared.value[dims]
+        chunks = np.concatenate([encode(x[met[s : s + BLOCK]], project, bits) for s in range(0, len(met), BLOCK)])
+        place = place.reshape(2, -1)
         some = np.empty(len(a), dtype=bool)
-        for s in range(0, len(a), 1 << 20):  # a pair counts in the first table where it meets
-            p = slice(s, s + (1 << 20))
-            some[p] = (chunks[a[p]] == chunks[b[p]]).argmax(axis=1) == table[a[p]]
+        for s in range(0, len(a), 1 << 17):  # a pair counts in the first table where it meets
+            p = slice(s, s + (1 << 17))
+            some[p] = (chunks[place[0, p]] == chunks[place[1, p]]).argmax(axis=1) == table[a[p]]
         a, b = a[some], b[some]
         if not len(a):
             return None
@@ -231,19 +240,19 @@ def link(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
                 chunks = encode(unit_vectors(x), project, bits)
                 keys = _keys(part.column(1).to_numpy(), dims, chunks)
                 ends = pa.array(np.arange(len(x) + 1, dtype=np.int32) * chunks.shape[1])
-                raw = [pa.array([r.tobytes() for r in m], pa.binary()) for m in (chunks.astype("<u4"), flat)]
+                raw = pa.array([r.tobytes() for r in flat], pa.binary())
                 wide = pa.array(np.full(len(x), dims, dtype=np.int32))
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), wide, part.column(3), pa.ListArray.from_arrays(ends, pa.array(keys.ravel())), *raw], names=["node", "label", "dims", "copies", "keys", "chunks", "vector"])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), wide, part.column(3), pa.ListArray.from_arrays(ends, pa.array(keys.ravel())), raw], names=["node", "label", "dims", "copies", "keys", "vector"])
 
-    coded = nodes.select("node", F.xxhash64("label").alias("label"), "embedding", "copies").mapInArrow(codes, "node long, label long, dims int, copies long, keys array<long>, chunks binary, vector binary")
+    coded = nodes.select("node", F.xxhash64("label").alias("label"), "embedding", "copies").mapInArrow(codes, "node long, label long, dims int, copies long, keys array<long>, vector binary")
     coded = written(coded, "codes")
     entries = coded.select("node", F.posexplode("keys").alias("table", "key"))
     large = written(entries.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("parts")), "entries")
     meet = entries.join(large, "key").withColumn("own", F.pmod(F.xxhash64("node", F.lit(3)), F.col("parts")).cast("int"))
     dealt = meet.join(coded.drop("keys"), "node").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    dealt = dealt.select("key", "dims", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "label", "table", "copies", "chunks", "vector")
+    dealt = dealt.select("key", "dims", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "label", "table", "copies", "vector")
     dealt = dealt.repartition("key", "i", "j").sortWithinPartitions("key", "dims", "i", "j")
-    found = written(dealt.mapInArrow(_rerank(cosine, kind), "a long, b long, links long"), "links")
+    found = written(dealt.mapInArrow(_rerank(cosine, kind, shared), "a long, b long, links long"), "links")
     counts = found.groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
     roots = components(found.filter("a <> b"))
     placed = nodes.join(counts, "node", "left").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))

@@ -112,3 +112,19 @@ def test_extreme_magnitudes(spark):
     rows = [(2 * k + j, [s, s * (1.0 if j else 1.01)], k) for k, s in enumerate((1e200, 1e-200, 1e-310, 1.7e308 / 1.02, 1.0)) for j in (0, 1)]
     got = neighbours.link(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()
     assert {(r.vec_id, r.n_links, r.component_id) for r in got} == {(i, 1, i - i % 2) for i in range(10)}
+
+
+def test_results_do_not_switch_by_size(spark):
+    """The share of pairs that meet is the same for small labels and large ones."""
+    for rows in (2, 62, neighbours.BLOCK, neighbours.BLOCK + 1, 5_000, 200_000):
+        bits, tables = neighbours.shape(rows, neighbours.COSINE)
+        same = (1 - np.arccos(neighbours.COSINE) / np.pi) ** bits
+        assert 1 - (1 - same) ** tables >= 0.99999 > 1 - (1 - same) ** (tables - 1)
+    rng = np.random.default_rng(3)
+    base = rng.normal(size=(2000, 64))
+    aside = rng.normal(size=base.shape)
+    aside -= base * (aside * base).sum(axis=1, keepdims=True) / (base * base).sum(axis=1, keepdims=True)
+    x = np.concatenate([base, base + 0.38 * aside * np.linalg.norm(base, axis=1, keepdims=True) / np.linalg.norm(aside, axis=1, keepdims=True)])
+    rows = [(i, v.tolist(), 1) for i, v in enumerate(x)]
+    got = {r.vec_id: r.n_links for r in neighbours.link(spark.createDataFrame(rows, DOUBLES)).collect()}
+    assert [got[i] for i in range(len(rows))] == linked(rows).tolist() and sum(got.values()) >= 4000
