@@ -98,14 +98,19 @@ def usage(log: DataFrame, now: Column, seconds: int = 3600) -> DataFrame:
 def usage_series(log: DataFrame, budget: int, seconds: int = 3600, by: tuple[str, ...] = ()) -> DataFrame:
     """Calls in the window that ends at each call (its far edge excluded), and whether they exceed the budget.
 
-    With ``by`` each group has its own window. The log is cut into blocks of one window's
-    length; each is counted with the block before it, so no task holds the whole log.
+    With ``by`` each group has its own window. Every call enters the window at its time and
+    leaves it a window's length later, so its size is a running sum; the log is cut into
+    blocks of that length, and what leaves in a block are the calls of the block before it.
+    No task holds the whole log, and the work grows with the calls, however dense they are.
     """
     span = seconds * 1_000_000
-    at = log.withColumn("_at", F.unix_micros("called_at")).withColumn("_block", F.floor(F.col("_at") / F.lit(span)))
-    both = at.withColumn("_own", F.lit(True)).unionByName(at.withColumns({"_block": F.col("_block") + 1, "_own": F.lit(False)}))
-    back = Window.partitionBy(*by, "_block").orderBy("_at").rangeBetween(-(span - 1), 0)
-    out = both.withColumn("calls", F.count("*").over(back)).filter("_own").drop("_at", "_block", "_own")
+    at = log.withColumn("_at", F.unix_micros("called_at")).withColumns({"_block": F.floor(F.col("_at") / F.lit(span)), "_step": F.lit(1)})
+    both = at.unionByName(at.withColumns({"_at": F.col("_at") + span, "_block": F.col("_block") + 1, "_step": F.lit(-1)}))
+    block = Window.partitionBy(*by, "_block")
+    upto = block.orderBy("_at").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    before = F.coalesce(F.sum(F.when((F.col("_step") < 0) & F.col("_at").isNotNull(), 1)).over(block), F.lit(0))
+    entered = F.when(F.col("_at").isNotNull(), F.sum("_step").over(upto)).otherwise(F.count_if(F.col("_step") > 0).over(block))
+    out = both.withColumn("calls", before + entered).filter("_step > 0").drop("_at", "_block", "_step")
     return out.withColumn("over_budget", F.col("calls") > budget)
 
 
