@@ -1,11 +1,13 @@
 """Landing zone: deterministic keys, idempotent writes page by page, scoped reads, page audit.
 
-Pages are landed in either of two forms: rows of a parquet table partitioned by
-entity, day, scope and offset, or JSON objects, one a page, under their lake keys.
+Pages are landed in either of two forms: rows of a parquet table in folders of entity
+and day, as many files a landing as tasks write it, or JSON objects, one a page, under
+their lake keys.
 """
 
 from __future__ import annotations
 
+import time
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -17,6 +19,8 @@ from lapforge.functions.exprs import txt, variant
 from lapforge.sources.entities import EntitySpec
 
 PAGE = "entity string, ingestion_date date, scope string, offset int, value string, source_key string"
+#: Pages as they lie in the landed table: a page is there once for each time that it landed.
+LANDED = f"{PAGE}, landing long"
 
 
 def scope_label(season: Column | None = None, round_: Column | None = None) -> Column:
@@ -42,23 +46,33 @@ def lake_key(entity: Column, label: Column, offset: Column, day: Column) -> Colu
 
 
 def land_pages(pages: DataFrame, root: str) -> None:
-    """Write pages (entity, ingestion_date, scope, offset, value), a folder each.
+    """Add pages (entity, ingestion_date, scope, offset, value) to the landed table.
 
-    Landing a page again replaces it and leaves the other pages of its scope alone;
-    another day adds one.
+    Landing a page again replaces it for readers and leaves the other pages of its
+    scope alone; another day adds one. Landings are numbered by the clock of the driver.
     """
     key = lake_key(F.col("entity"), F.col("scope"), F.col("offset"), F.col("ingestion_date"))
-    (pages.withColumn("source_key", key).write.partitionBy("entity", "ingestion_date", "scope", "offset").option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(root))
+    (pages.withColumns({"source_key": key, "landing": F.lit(time.time_ns())}).write.partitionBy("entity", "ingestion_date").mode("append").parquet(root))
+
+
+def newest_pages(pages: DataFrame) -> DataFrame:
+    """Of each page (``LANDED``) what landed last."""
+    last = Window.partitionBy("source_key").orderBy(F.desc("landing"), F.desc("value"))
+    return pages.withColumn("_rank", F.row_number().over(last)).filter("_rank = 1").drop("_rank", "landing")
+
+
+def read_landed(spark: SparkSession, root: str) -> DataFrame:
+    """All landed pages, of every entity and day."""
+    return newest_pages(spark.read.schema(LANDED).parquet(root))
 
 
 def read_lake(spark: SparkSession, root: str, entity: str, day: str, season: int | None = None, round_: int | None = None) -> DataFrame:
     """Landed pages of an entity and day; without a round, every round of the season.
 
-    Only the folder of the entity and day is listed; scopes prune what is read of it.
-    Nothing landed: no rows.
+    Only the folder of the entity and day is listed. Nothing landed: no rows.
     """
     try:
-        pages = spark.read.schema(PAGE).option("basePath", root).parquet(f"{root}/entity={entity}/ingestion_date={day}")
+        pages = spark.read.schema(LANDED).option("basePath", root).parquet(f"{root}/entity={entity}/ingestion_date={day}")
     except AnalysisException as e:
         if "PATH_NOT_FOUND" not in str(e):
             raise
@@ -67,7 +81,7 @@ def read_lake(spark: SparkSession, root: str, entity: str, day: str, season: int
         label = f"season={season}" + ("" if round_ is None else f"_round={round_:02d}")
         exact = F.col("scope") == label
         pages = pages.filter(exact if round_ is not None else exact | F.col("scope").startswith(f"{label}_round="))
-    return pages
+    return newest_pages(pages)
 
 
 def put_objects(pages: DataFrame, root: str) -> int:
@@ -84,11 +98,15 @@ def put_objects(pages: DataFrame, root: str) -> int:
         from pyarrow import fs, record_batch
 
         store, folder = fs.FileSystem.from_uri(root) if ":/" in root else (fs.LocalFileSystem(), root)
+        made: set[str] = set()
         for batch in batches:
             for name, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 place = posixpath.join(folder, name)
-                draft = posixpath.join(posixpath.dirname(place), "." + posixpath.basename(place))
-                store.create_dir(posixpath.dirname(place), recursive=True)
+                within = posixpath.dirname(place)
+                draft = posixpath.join(within, "." + posixpath.basename(place))
+                if within not in made:
+                    store.create_dir(within, recursive=True)
+                    made.add(within)
                 with store.open_output_stream(draft, compression=None) as out:
                     out.write((value or "").encode())
                 store.move(draft, place)

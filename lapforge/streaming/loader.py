@@ -21,7 +21,7 @@ from lapforge.operators.merge import dedupe_last, merge
 from lapforge.operators.state import failures
 from lapforge.sources import versions
 from lapforge.sources.entities import ENTITIES
-from lapforge.sources.lake import PAGE
+from lapforge.sources.lake import LANDED, newest_pages
 
 BUCKETS, KEEP = 32, 2
 _LETTERS = "id string, entity string, source_key string, error_detail string, fragment string, failed_at timestamp, resolved_at timestamp, batch long"
@@ -63,6 +63,9 @@ def load(spark: SparkSession, pages: DataFrame, root: str, entity: str, batch: i
     if batch <= versions.newest(known):
         return
     spec = ENTITIES[entity]
+    held = f"{root}/pages/batch={batch}"
+    pages.select("source_key", "value").repartition("source_key").write.mode("overwrite").parquet(held)  # what lies in many small files is opened once
+    pages = spark.read.schema("source_key string, value string").parquet(held)
     docs, unread = parse_objects(pages)
     records, unkeyed = extract(spec, docs)
     records.write.mode("overwrite").parquet(f"{root}/parsed/batch={batch}")
@@ -83,6 +86,7 @@ def load(spark: SparkSession, pages: DataFrame, root: str, entity: str, batch: i
     one = reduce(DataFrame.crossJoin, counts)
     one.select("parsed", "inserted", "updated", "failed").write.mode("overwrite").parquet(f"{root}/outcomes/batch={batch}")
     versions.commit(spark, root, batch, touched)
+    versions.delete(spark, held)
     kept = {b: p.versions for b, p in known.items() if b is not None}
     versions.clean(spark, f"{root}/raw", "bucket", kept | {b: [batch, *kept.get(b, [])][:KEEP] for b in touched})
 
@@ -126,10 +130,10 @@ def stream_load(spark: SparkSession, lake_root: str, root: str, entity: str, che
     ``pages`` is another stream of pages, such as that of landed objects.
     """
     if pages is None:
-        pages = spark.readStream.schema(PAGE).parquet(lake_root).filter(F.col("entity") == entity)
+        pages = spark.readStream.schema(LANDED).parquet(lake_root).filter(F.col("entity") == entity)
 
     def each(batch: DataFrame, number: int) -> None:
-        load(spark, batch, root, entity, number + 1)
+        load(spark, newest_pages(batch) if "landing" in batch.columns else batch, root, entity, number + 1)
 
     pages.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 

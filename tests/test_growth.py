@@ -29,3 +29,15 @@ def test_usage_against_counting(spark):
     for by in ((), ("entity",)):
         got = state.usage_series(log, 2, by=by).select("entity", "t", "calls", "over_budget").collect()
         assert sorted(repr((r.entity, r.t, r.calls)) for r in got) == want(by) and all(r.over_budget == (r.calls > 2) for r in got)
+
+
+def test_files_follow_tasks_not_pages(spark, tmp_path):
+    """A thousand pages are as many files as tasks land them; what lands again replaces, by page."""
+    root = str(tmp_path)
+    pages = spark.range(0, 1000, 1, 4).select(F.lit("seasons").alias("entity"), F.lit("2031-01-01").cast("date").alias("ingestion_date"), F.lit("all").alias("scope"), (F.col("id") * 100).cast("int").alias("offset"), F.lit("old").alias("value"))
+    lake.land_pages(pages, root)
+    assert len(list(pathlib.Path(root).rglob("*.parquet"))) == 4
+    lake.land_pages(pages.filter("offset < 500").withColumn("value", F.lit("new")), root)
+    found = lake.read_lake(spark, root, "seasons", "2031-01-01")
+    assert sorted(found.filter("value = 'new'").select("offset").toPandas()["offset"]) == [0, 100, 200, 300, 400] and found.count() == 1000
+    assert found.select("offset").distinct().count() == 1000 and lake.read_landed(spark, root).count() == 1000 and set(found.columns) == {c.split()[0] for c in lake.PAGE.split(", ")}
