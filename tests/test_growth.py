@@ -41,3 +41,10 @@ def test_files_follow_tasks_not_pages(spark, tmp_path):
     found = lake.read_lake(spark, root, "seasons", "2031-01-01")
     assert sorted(found.filter("value = 'new'").select("offset").toPandas()["offset"]) == [0, 100, 200, 300, 400] and found.count() == 1000
     assert found.select("offset").distinct().count() == 1000 and lake.read_landed(spark, root).count() == 1000 and set(found.columns) == {c.split()[0] for c in lake.PAGE.split(", ")}
+
+
+def test_large_tables_are_dealt_finely(spark, monkeypatch):
+    rows = spark.range(100)
+    assert bindings.dealt(rows, "id", 1000 * bindings.SORTED_BYTES).rdd.getNumPartitions() == 1000
+    monkeypatch.setattr(bindings, "SORTED_BYTES", 1000)
+    assert bindings.dealt(rows, "id", 20_001).rdd.getNumPartitions() == 21
