@@ -48,3 +48,16 @@ def test_large_tables_are_dealt_finely(spark, monkeypatch):
     assert bindings.dealt(rows, "id", 1000 * bindings.SORTED_BYTES).rdd.getNumPartitions() == 1000
     monkeypatch.setattr(bindings, "SORTED_BYTES", 1000)
     assert bindings.dealt(rows, "id", 20_001).rdd.getNumPartitions() == 21
+
+
+def test_a_page_is_parsed_once(spark):
+    spec = EntitySpec("e", "race", "D.O", (("o", "o"), ("n", "Item.n")), "L", ("o",))
+    docs = [{"D": {"O": [{"o": 1, "L": [{"Item": {"n": k}} for k in (1, "", None, {"x": 1}, [2])] + [5, None, [], {"Item": 5}, {"Item": None}, {}, {"o": "own", "Item": {"n": 9}}]}, 7, {"L": 3}, {"o": "x"}]}}, {"D": []}, 5, None, {"D": {"O": {"o": 1}}}]
+    pages = spark.createDataFrame([(str(k), json.dumps(d)) for k, d in enumerate(docs)] + [("bad", "{"), ("none", None)], "source_key string, value string")
+    parsed, bad = extract.parse_objects(pages)
+    good, unkeyed = extract.extract(spec, parsed)
+    assert sorted(r.source_key for r in bad.collect()) == ["bad", "none"]
+    assert sorted((r.o, r.n, r.pos) for r in good.collect()) == [("1", "1", 0), ("1", "[2]", 4), ("1", '{"x":1}', 3), ("own", "9", 8)]
+    assert sorted((r.error_detail, r.fragment) for r in unkeyed.collect()) == sorted(("missing key field(s): Item.n", f) for f in ('{"Item":{"n":""}}', '{"Item":{"n":null}}', '{"Item":5}', '{"Item":null}', "{}"))
+    plan = good.select("o", "n")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parseJson(value") == 1 and "schema_of_variant" not in plan
