@@ -18,8 +18,8 @@ def _last_round(standings: DataFrame, season: int | None = None) -> DataFrame:
 
 
 def _categorised(results: DataFrame, statuses: DataFrame) -> DataFrame:
-    """Results with the category of their status."""
-    return results.join(statuses.select("status_key", "status_category"), "status_key")
+    """Results with the category of their status. Few statuses hold all results, so these stay where they are and the dimension goes to them."""
+    return results.join(F.broadcast(statuses.select("status_key", "status_category")), "status_key")
 
 
 def championship_progression(standings: DataFrame, drivers: DataFrame, races: DataFrame, season: int, top_n: int = 5) -> DataFrame:

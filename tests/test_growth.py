@@ -61,3 +61,9 @@ def test_a_page_is_parsed_once(spark):
     assert sorted((r.error_detail, r.fragment) for r in unkeyed.collect()) == sorted(("missing key field(s): Item.n", f) for f in ('{"Item":{"n":""}}', '{"Item":{"n":null}}', '{"Item":5}', '{"Item":null}', "{}"))
     plan = good.select("o", "n")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("parseJson(value") == 1 and "schema_of_variant" not in plan
+
+
+def test_results_are_not_dealt_by_status(spark):
+    """A handful of statuses would be as many tasks."""
+    plan = bindings.QUERIES["r6_outcomes"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().sparkPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
