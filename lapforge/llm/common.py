@@ -56,6 +56,15 @@ def written(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discarded(*tables: DataFrame) -> None:
+    """Delete what ``written`` wrote, where all that was made of it is written too, so that it takes no room until the job's end."""
+    for df in tables:
+        for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
+            jvm = df.sparkSession._jvm
+            path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(folder))
+            path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def picked(rows: DataFrame, ids: DataFrame, how: str) -> DataFrame:
     """Rows whose uid is (``left_semi``) or isn't (``left_anti``) in ``ids``, a table as read of one column of distinct numbers.
 

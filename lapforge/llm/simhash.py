@@ -19,8 +19,11 @@ Equal fingerprints are one node. A table entry of up to ``BLOCK`` nodes is
 compared in one pass; larger ones are cut into blocks and dealt out by pairs of
 blocks. What leaves a task is a spanning tree of the near nodes of an entry, not
 their pairs. For fingerprints that is all there is to know. In ``alike`` a link of a
-tree may yet be rejected, so the trees only come first: groups that a rejected link
-leaves apart are compared once more, and all their pairs are decided (``_apart``).
+tree may yet be rejected, so the trees only make families: all pairs of a family are
+decided in tasks that hold the sets of two of its blocks (``_decided``), and what
+leaves them again is a forest. Groups that a rejected link leaves apart look for
+nodes of other families once more (``_apart``); families that find each other are
+decided likewise. Comparisons grow with the square of a family, rows don't.
 """
 
 from __future__ import annotations
@@ -31,12 +34,13 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lapforge.llm.common import appended, picked, ready, set_aside, texts_of, written
+from lapforge.llm.common import appended, discarded, give_back, picked, ready, set_aside, texts_of, written
 from lapforge.llm.components import components
 
 RADIUS = 4
@@ -51,9 +55,10 @@ LANES = 8
 NEAR_128 = 34
 NEAR_ALL = 116
 SURE_ALL = 48
-#: What the tables of the sketch are built of (lane, first bit, bits), and a power of two that their number doesn't reach.
+#: Hashes that a block of a family holds on average; a task holds two blocks.
+BLOCK_HASHES = 500_000
+#: What the tables of the sketch are built of (lane, first bit, bits).
 PARTS = ((0, 0, 32), (0, 32, 32), (1, 0, 32), (1, 32, 32))
-MOST_TABLES = 128
 _SIGN = 1 << 63
 
 
@@ -179,41 +184,40 @@ def _entry_links(node: np.ndarray, codes: np.ndarray, bounds: np.ndarray, limit:
     return np.concatenate([empty, *froms]), np.concatenate([empty, *tos])
 
 
-def _entry_pairs(rows: pa.Table, bounds: np.ndarray, tables: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """All pairs within ``NEAR_ALL`` bits of rows (key, i, j, node, codes, root, own) of unlike roots, each in the first table where it meets."""
-    node, root, own = (rows.column(k).to_numpy() for k in (3, 4 + LANES, 5 + LANES))
+def _family_links(rows: pa.Table, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Spanning forest of the families that pairs within ``NEAR_ALL`` bits join; rows (key, i, j, node, codes, family, own)."""
+    family, own = (rows.column(k).to_numpy() for k in (4 + LANES, 5 + LANES))
     codes = np.stack([rows.column(4 + k).to_numpy().view(np.uint64) for k in range(LANES)], axis=1)
-    table = rows.column(0).to_numpy() & (MOST_TABLES - 1)
     one = rows.column(1).to_numpy() == rows.column(2).to_numpy()
-    after = np.repeat(bounds[1:], np.diff(bounds)) - 1 - np.arange(len(node))
-    lane, mask = tables
-    froms, tos = [np.empty(0, dtype=np.int64)], [np.empty(0, dtype=np.int64)]
+    after = np.repeat(bounds[1:], np.diff(bounds)) - 1 - np.arange(len(family))
+    names, of = np.unique(family, return_inverse=True)
+    label = np.arange(len(names))
+    froms, tos = [], []
     at, shift = np.flatnonzero(after >= 1), 1
     while len(at):
-        a = at[(root[at] != root[at + shift]) & (one[at] | (own[at] != own[at + shift]))]
-        diff = codes[a] ^ codes[a + shift]
-        some = np.bitwise_count(diff).sum(axis=1, dtype=np.int64) <= NEAR_ALL
-        a, diff = a[some], diff[some]
-        meets = (diff[:, lane] & mask) == 0
-        a = a[meets.any(axis=1) & (meets.argmax(axis=1) == table[a])]
-        froms.append(node[a])
-        tos.append(node[a + shift])
+        a = at[(label[of[at]] != label[of[at + shift]]) & (one[at] | (own[at] != own[at + shift]))]
+        a = a[np.bitwise_count(codes[a] ^ codes[a + shift]).sum(axis=1, dtype=np.int64) <= NEAR_ALL]
+        for x, y in zip(of[a].tolist(), of[a + shift].tolist(), strict=True):
+            if label[x] != label[y]:
+                froms.append(x)
+                tos.append(y)
+                label[label == label[y]] = label[x]
         shift += 1
         at = at[after[at] >= shift]
-    return np.concatenate(froms), np.concatenate(tos)
+    return names[np.array(froms, dtype=np.int64)], names[np.array(tos, dtype=np.int64)]
 
 
-def _compare(keys: int, lanes: int, limit: int, block: int | None, tables: tuple[np.ndarray, np.ndarray] | None = None):  # noqa: ANN202
+def _compare(keys: int, lanes: int, limit: int, block: int | None, families: bool = False):  # noqa: ANN202
     """Streams rows (keys, node, codes) sorted by keys into rows (a, b, key, codes).
 
     Links have a and b; the nodes of entries of more than ``block`` rows are handed
     on as they are, with b null. At most an entry of that size is held. With
-    ``tables`` links are all pairs, of rows as for ``_entry_pairs``.
+    ``families`` links are of families, of rows as for ``_family_links``.
     """
 
     def links_of(rows: pa.Table, bounds: np.ndarray) -> tuple[pa.Array, pa.Array]:
-        if tables:
-            a, b = _entry_pairs(rows, bounds, tables)
+        if families:
+            a, b = _family_links(rows, bounds)
             return pa.array(a), pa.array(b)
         codes = np.stack([rows.column(keys + 1 + k).to_numpy().view(np.uint64) for k in range(lanes)], axis=1)
         a, b = _entry_links(rows.column(keys).to_numpy(), codes, bounds, limit)
@@ -265,8 +269,10 @@ def links(nodes: DataFrame, lanes: int = 1, parts: tuple[tuple[int, int, int], .
     ready(nodes.sparkSession)
     tables = _tables(parts, radius)
     codes = [f"c{k}" for k in range(lanes)]
-    keys = F.explode(F.array(*[F.hash(F.lit(k), F.col(f"c{lane}").bitwiseAND(F.lit(m))) for k, (lane, m) in enumerate(tables)]))
-    spread = nodes.select(keys.alias("key"), "node", *codes).repartition("key").sortWithinPartitions("key")
+    table = F.explode(F.sequence(F.lit(0), F.lit(len(tables) - 1)))
+    lane, mask = (F.get(F.array(*[F.lit(t[k]) for t in tables]), "k") for k in (0, 1))
+    key = F.hash("k", F.get(F.array(*codes), lane).bitwiseAND(mask))  # made on both sides, as the number of a table takes a byte in the shuffle
+    spread = nodes.select(table.alias("k"), "node", *codes).repartition(key).select(key.alias("key"), "node", *codes).sortWithinPartitions("key")
     schema = f"a long, b long, key int, {', '.join(f'{c} long' for c in codes)}"
     met = written(spread.mapInArrow(_compare(1, lanes, limit, block), schema), "met")
     large = met.filter("b is null").select("key", F.col("a").alias("node"), *codes)
@@ -285,25 +291,24 @@ def _tables(parts: tuple[tuple[int, int, int], ...], radius: int) -> list[tuple[
 
 
 def _apart(nodes: DataFrame, block: int = BLOCK) -> DataFrame:
-    """(a, b): all pairs of ``nodes`` (node, codes, root) that collide, have unlike roots and differ in at most ``NEAR_ALL`` bits.
-
-    A key ends in the number of its table. Of a part's 16 or 17 bits the hash before it hides none that matter.
-    """
+    """(a, b): families of ``nodes`` (node, codes, family) that connect all those of which nodes collide and differ in at most ``NEAR_ALL`` bits."""
     ready(nodes.sparkSession)
-    tables = _tables(PARTS, RADIUS)
     codes = [f"c{k}" for k in range(LANES)]
-    rows = nodes.select("node", *[F.col("codes")[k].alias(c) for k, c in enumerate(codes)], "root")
-    keys = [F.shiftleft(F.hash(F.col(codes[lane]).bitwiseAND(F.lit(m))), MOST_TABLES.bit_length() - 1).bitwiseOR(F.lit(k)) for k, (lane, m) in enumerate(tables)]
+    rows = nodes.select("node", *[F.col("codes")[k].alias(c) for k, c in enumerate(codes)], "family")
+    keys = [F.hash(F.lit(k), F.col(codes[lane]).bitwiseAND(F.lit(m))) for k, (lane, m) in enumerate(_tables(PARTS, RADIUS))]
     keyed = rows.withColumn("key", F.explode(F.array(*keys)))
-    some = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("root").alias("least"), F.max("root").alias("most")).filter("least < most")
-    shares = some.select("key", F.ceil(F.col("n") / block).cast("int").alias("parts"))
-    dealt = keyed.join(shares, "key").withColumn("own", F.pmod(F.xxhash64("node", F.lit(7)), F.col("parts")))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts").cast("long") - 1)))
-    dealt = dealt.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", *codes, "root", "own")
-    dealt = dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    shared = np.array([lane for lane, _ in tables]), np.array([m for _, m in tables], dtype=np.int64).view(np.uint64)
+    some = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("family").alias("least"), F.max("family").alias("most")).filter("least < most")
+    dealt = _dealt(keyed.join(some.select("key", F.ceil(F.col("n") / block).cast("int").alias("parts")), "key"))
+    dealt = dealt.select("key", "i", "j", "node", *codes, "family", "own").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
     names = [f"c{k}" for k in range(LANES + 2)]
-    return dealt.mapInArrow(_compare(3, LANES + 2, NEAR_ALL, None, shared), f"a long, b long, key int, {', '.join(f'{c} long' for c in names)}").select("a", "b").distinct()
+    return dealt.mapInArrow(_compare(3, LANES + 2, NEAR_ALL, None, families=True), f"a long, b long, key int, {', '.join(f'{c} long' for c in names)}").select("a", "b").distinct()
+
+
+def _dealt(rows: DataFrame) -> DataFrame:
+    """Rows (node, parts, ...) of entries cut into ``parts`` blocks: ``own``, and a row for each pair of blocks ``i``, ``j`` that it is in."""
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("node", F.lit(7)), F.col("parts")))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts").cast("long") - 1)))
+    return rows.withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")}).drop("other", "parts")
 
 
 def group(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
@@ -344,31 +349,100 @@ def alike(docs: DataFrame) -> DataFrame:
     nodes = written(nodes.withColumn("node", F.col("best.uid")), "sketches")
     pairs = links(nodes.select("node", F.col("codes")[0].alias("c0"), F.col("codes")[1].alias("c1")), lanes=2, parts=PARTS, limit=NEAR_128)
     pairs = written(pairs, "pairs")
-    first = components(_linked(pairs, nodes, docs))
-    placed = written(nodes.select("node").join(first, "node", "left").select("node", F.coalesce("root", "node").alias("root")), "placed")
+    side = lambda x: nodes.select(F.col("node").alias(x), F.col("codes").alias(f"codes_{x}"))
+    near = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", _bits_apart("codes_a", "codes_b").alias("apart"))
+    near = written(near.filter(F.col("apart") <= NEAR_ALL), "near")
+    placed = nodes.select("node", F.col("node").alias("root"), F.col("node").alias("family"))
+    placed = _merged(_merged(placed, near.filter(F.col("apart") <= SURE_ALL), "root"), near, "family")
+    placed = _merged(placed, _decided(placed.withColumn("done", F.col("root")), nodes, docs), "root")
     again = written(_open_roots(pairs, placed), "open")
     if not again.isEmpty():
-        rest = written(_apart(nodes.select("node", "codes").join(placed.join(again, "root", "left_semi"), "node")), "rest")
-        of = lambda x: placed.select(F.col("node").alias(x), F.col("root").alias(f"root_{x}"))
-        more = _linked(rest, nodes, docs).join(of("a"), "a").join(of("b"), "b").select(F.col("root_a").alias("a"), F.col("root_b").alias("b"))
-        whole = components(more).select(F.col("node").alias("root"), F.col("root").alias("whole"))
-        placed = placed.join(whole, "root", "left").select("node", F.coalesce("whole", "root").alias("root"))
+        left = placed.join(again, "root", "left_semi")
+        rest = written(_apart(nodes.select("node", "codes").join(left, "node")), "rest")
+        if not rest.isEmpty():
+            wide = _merged(left.withColumn("done", F.col("family")), rest, "family")
+            placed = _merged(placed, _decided(wide, nodes, docs), "root")
     return nodes.join(placed, "node").select("best", "root")
 
 
-def _linked(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
-    """Those of the pairs that are near: surely so by their sketches, or counted."""
-    side = lambda x: nodes.select(F.col("node").alias(x), F.col("codes").alias(f"codes_{x}"))
-    near = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", _bits_apart("codes_a", "codes_b").alias("apart"))
-    near = written(near.filter(F.col("apart") <= NEAR_ALL), "near")
-    doubtful = near.filter(F.col("apart") > SURE_ALL).select("a", "b")
-    asked = written(doubtful.select(F.explode(F.array("a", "b")).alias("uid")).distinct(), "asked")
-    sets = written(shingle_sets(picked(docs.select("uid", "text"), asked, "left_semi")).select("uid", "shingles"), "sets")
-    of = lambda x: sets.select(F.col("uid").alias(x), F.col("shingles").alias(f"of_{x}"))
-    met = doubtful.join(of("a"), "a").join(of("b"), "b")
-    met = met.select("a", "b", F.size(F.array_intersect("of_a", "of_b")).alias("common"), (F.size("of_a") + F.size("of_b")).alias("both"))
-    counted = met.filter(F.col("common") / (F.col("both") - F.col("common")) >= SIMILAR)
-    return near.filter(F.col("apart") <= SURE_ALL).select("a", "b").unionByName(counted.select("a", "b"))
+def _merged(placed: DataFrame, met: DataFrame, column: str) -> DataFrame:
+    """``placed`` with the values of a column that links (a, b) connect replaced by their least."""
+    whole = components(met).select(F.col("node").alias(column), F.col("root").alias("whole"))
+    return written(placed.join(whole, column, "left").withColumn(column, F.coalesce("whole", column)).drop("whole"), "placed")
+
+
+def _near_roots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (family, i, j, root, done, own, codes, shingles) sorted by family, i, j -> (a, b), a spanning forest of the roots that are near."""
+    held: pa.Table | None = None
+    for batch in chain(batches, [None]):
+        parts = [x for x in (held, None if batch is None else pa.Table.from_batches([batch])) if x is not None and x.num_rows]
+        held = None
+        if not parts:
+            continue
+        rows = pa.concat_tables(parts).combine_chunks()
+        key = np.stack([rows.column(k).to_numpy() for k in range(3)])
+        cuts = [0, *(np.flatnonzero((key[:, 1:] != key[:, :-1]).any(axis=0)) + 1).tolist()]
+        if batch is None:
+            cuts.append(rows.num_rows)
+        else:
+            held = rows.slice(cuts[-1])
+        found = [_near_in(rows.slice(a, b - a)) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*found, strict=True)], names=["a", "b"])
+    give_back()
+
+
+def _near_in(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Links of one pair of blocks: sketches accept or reject a pair, or else the common part of the sets is counted; of what is joined already nothing is."""
+    i, j, root, done, own = (rows.column(k).to_numpy() for k in range(1, 6))
+    codes = np.stack([rows.column(6 + k).to_numpy().view(np.uint64) for k in range(LANES)], axis=1)
+    lists = rows.column(6 + LANES)
+    sizes = pc.list_value_length(lists).to_numpy().astype(np.int64)
+    ends = np.concatenate([[0], np.cumsum(sizes)])
+    held, ids = np.unique(pc.list_flatten(lists).to_numpy(), return_inverse=True)
+    mine = np.zeros(len(held), dtype=bool)
+    label = np.unique(root, return_inverse=True)[1]
+    froms, tos = [], []
+    for x in range(len(root) - 1):
+        y = np.arange(x + 1, len(root))
+        y = y[(label[y] != label[x]) & (done[y] != done[x]) & ((i[0] == j[0]) | (own[y] != own[x]))]
+        apart = np.bitwise_count(codes[y] ^ codes[x]).sum(axis=1, dtype=np.int64)
+        y, apart = y[apart <= NEAR_ALL], apart[apart <= NEAR_ALL]
+        mine[ids[ends[x] : ends[x + 1]]] = True
+        for k, bits in zip(y.tolist(), apart.tolist(), strict=True):
+            if label[k] == label[x]:
+                continue
+            if bits > SURE_ALL:
+                common = np.count_nonzero(mine[ids[ends[k] : ends[k + 1]]])
+                if common / (sizes[x] + sizes[k] - common) < SIMILAR:
+                    continue
+            froms.append(x)
+            tos.append(k)
+            label[label == label[k]] = label[x]
+        mine[ids[ends[x] : ends[x + 1]]] = False
+    return root[np.array(froms, dtype=np.int64)], root[np.array(tos, dtype=np.int64)]
+
+
+def _decided(placed: DataFrame, nodes: DataFrame, docs: DataFrame, block: int = BLOCK) -> DataFrame:
+    """(a, b): roots that connect all those of a family of which nodes are near and differ in ``done``; rows (node, root, family, done).
+
+    Large families are cut into blocks by rows and by the hashes that their sets hold, and
+    dealt out by pairs of blocks, so that a task holds two blocks whatever their number.
+    """
+    ready(nodes.sparkSession)
+    mixed = placed.groupBy("family").agg((F.min("root") < F.max("root")).alias("mixed")).filter("mixed").select("family")
+    asked = written(placed.join(mixed, "family", "left_semi").select(F.col("node").alias("uid"), "family", "root", "done"), "asked")
+    sets = written(shingle_sets(picked(docs.select("uid", "text"), asked.select("uid"), "left_semi")).select("uid", "shingles"), "sets")
+    codes = [F.col("codes")[k].alias(f"c{k}") for k in range(LANES)]
+    sizes = sets.select("uid", F.size("shingles").alias("hashes")).join(asked, "uid").groupBy("family").agg(F.count("*").alias("n"), F.sum("hashes").alias("hashes"))
+    shares = sizes.select("family", F.ceil(F.greatest(F.lit(1.0), F.col("n") / block, F.col("hashes") / BLOCK_HASHES)).cast("int").alias("parts"))
+    known = asked.join(shares, "family").join(nodes.select(F.col("node").alias("uid"), *codes), "uid")
+    dealt = _dealt(known.join(sets, "uid").withColumnRenamed("uid", "node"))
+    dealt = dealt.select("family", "i", "j", "root", "done", "own", *[f"c{k}" for k in range(LANES)], "shingles")
+    dealt = dealt.repartition("family", "i", "j").sortWithinPartitions("family", "i", "j")
+    out = written(dealt.mapInArrow(_near_roots, "a long, b long").distinct(), "decided")
+    discarded(sets)
+    return out
 
 
 def _open_roots(pairs: DataFrame, placed: DataFrame) -> DataFrame:

@@ -221,6 +221,30 @@ def test_near_copies_at_the_threshold(spark):
     assert not kept & sure and len(kept & gone) <= 0.05 * len(gone)
 
 
+def test_near_copies_in_a_large_family(spark, monkeypatch):
+    """Of 700 texts at 0.7 to each other only those with a nearer one go; no table has rows for the family's pairs, and blocks of it meet."""
+    rng = random.Random(16)
+    shared, n = [f"p{i}" for i in range(60)], 700
+    tails = [[f"t{i}.{k}" for k in range(12)] for i in range(n)]
+    near = {i: tails[i - n][:-2] + [f"n{i}.0", f"n{i}.1"] for i in range(n, n + 80)}
+    texts = [shared + t for t in tails] + [shared + t for t in near.values()]
+    alike = lambda a, b: len(shingle_set(a) & shingle_set(b)) / len(shingle_set(a) | shingle_set(b))
+    assert alike(texts[0], texts[1]) == 0.7 and alike(texts[0], texts[n]) > 0.8
+    rng.shuffle(order := list(range(len(texts))))
+    df = spark.createDataFrame([(i, " ".join(texts[i]), "en", "s", 1) for i in order], "doc_id long, text string, lang string, source string, n_chars long")
+    write, rows = simhash.written, {}
+
+    def counted(table, tag):
+        out = write(table, tag)
+        rows[tag] = max(rows.get(tag, 0), out.count())
+        return out
+
+    monkeypatch.setattr(simhash, "written", counted)
+    monkeypatch.setattr(simhash, "BLOCK_HASHES", 10_000)
+    assert {r.doc_id for r in simhash.stage(df).collect()} == set(range(n))
+    assert rows["asked"] > n / 2 and max(rows.values()) < 124 * len(texts), rows
+
+
 def test_components(spark):
     path = [(i, i + 1) for i in range(200)]
     got = components.components(spark.createDataFrame([*path, (500, 501), (501, 500), (7, 7)], "a long, b long")).collect()
