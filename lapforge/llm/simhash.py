@@ -29,7 +29,7 @@ decided likewise. Comparisons grow with the square of a family, rows don't.
 from __future__ import annotations
 
 import random
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import chain
 
 import numpy as np
@@ -184,18 +184,18 @@ def _entry_links(node: np.ndarray, codes: np.ndarray, bounds: np.ndarray, limit:
     return np.concatenate([empty, *froms]), np.concatenate([empty, *tos])
 
 
-def _family_links(rows: pa.Table, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Spanning forest of the families that pairs within ``NEAR_ALL`` bits join; rows (key, i, j, node, codes, family, own)."""
-    family, own = (rows.column(k).to_numpy() for k in (4 + LANES, 5 + LANES))
-    codes = np.stack([rows.column(4 + k).to_numpy().view(np.uint64) for k in range(LANES)], axis=1)
-    one = rows.column(1).to_numpy() == rows.column(2).to_numpy()
-    after = np.repeat(bounds[1:], np.diff(bounds)) - 1 - np.arange(len(family))
+def _family_links(family: np.ndarray, codes: np.ndarray, bounds: np.ndarray, own: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Spanning forest of the families that pairs within ``NEAR_ALL`` bits join; of rows with blocks (``own``) only pairs of two blocks count."""
     names, of = np.unique(family, return_inverse=True)
+    sizes = np.diff(bounds)
+    mixed = np.minimum.reduceat(of, bounds[:-1]) < np.maximum.reduceat(of, bounds[:-1])
+    after = np.repeat(bounds[1:], sizes) - 1 - np.arange(len(family))
     label = np.arange(len(names))
     froms, tos = [], []
-    at, shift = np.flatnonzero(after >= 1), 1
+    at, shift = np.flatnonzero(np.repeat(mixed, sizes) & (after >= 1)), 1
     while len(at):
-        a = at[(label[of[at]] != label[of[at + shift]]) & (one[at] | (own[at] != own[at + shift]))]
+        some = label[of[at]] != label[of[at + shift]]
+        a = at[some if own is None else some & (own[at] != own[at + shift])]
         a = a[np.bitwise_count(codes[a] ^ codes[a + shift]).sum(axis=1, dtype=np.int64) <= NEAR_ALL]
         for x, y in zip(of[a].tolist(), of[a + shift].tolist(), strict=True):
             if label[x] != label[y]:
@@ -207,57 +207,78 @@ def _family_links(rows: pa.Table, bounds: np.ndarray) -> tuple[np.ndarray, np.nd
     return names[np.array(froms, dtype=np.int64)], names[np.array(tos, dtype=np.int64)]
 
 
-def _compare(keys: int, lanes: int, limit: int, block: int | None, families: bool = False):  # noqa: ANN202
-    """Streams rows (keys, node, codes) sorted by keys into rows (a, b, key, codes).
+Linking = Callable[..., tuple[np.ndarray, np.ndarray]]
+#: Links (a, b) without a key; blocks of large entries with one: their number, packed rows (id, codes), least and greatest id.
+MET = "a long, b long, key int, part int, rows binary"
 
-    Links have a and b; the nodes of entries of more than ``block`` rows are handed
-    on as they are, with b null. At most an entry of that size is held. With
-    ``families`` links are of families, of rows as for ``_family_links``.
-    """
 
-    def links_of(rows: pa.Table, bounds: np.ndarray) -> tuple[pa.Array, pa.Array]:
-        if families:
-            a, b = _family_links(rows, bounds)
-            return pa.array(a), pa.array(b)
-        codes = np.stack([rows.column(keys + 1 + k).to_numpy().view(np.uint64) for k in range(lanes)], axis=1)
-        a, b = _entry_links(rows.column(keys).to_numpy(), codes, bounds, limit)
-        return pa.array(a), pa.array(b)
+def _compare(linked: Linking, block: int):  # noqa: ANN202
+    """Streams rows (key, id, codes) sorted by key into rows of ``MET``: the links of ids in entries of up to ``block`` rows.
+
+    Of larger entries every ``block`` rows are a block: its links, and all of it in one row. At most a block is held.
+    """
+    names = ["a", "b", "key", "part", "rows"]
 
-    names = ["a", "b", "key", *(f"c{k}" for k in range(lanes))]
+    def joined(rows: np.ndarray, bounds: np.ndarray) -> Iterator[pa.RecordBatch]:
+        a, b = linked(rows[:, 1], rows[:, 2:].view(np.uint64), bounds)
+        if n := len(a):
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: pa.Table | None = None
-        over: tuple | None = None
+        held: np.ndarray | None = None
+        begun, part = None, 0  # the key of the entry that blocks were cut from last, and their number
         for batch in chain(batches, [None]):
-            parts = ([held] if held is not None else []) + ([pa.Table.from_batches([batch])] if batch is not None else [])
-            rows = pa.concat_tables(parts).combine_chunks() if parts else None
-            if rows is None or not rows.num_rows:
+            rows = [] if batch is None else [np.stack([x.to_numpy().astype(np.int64, copy=False) for x in batch.columns], axis=1)]
+            rows = np.concatenate([*([] if held is None else [held]), *rows]) if rows or held is not None else np.empty((0, 2), dtype=np.int64)
+            if not len(rows):
                 continue
-            key = np.stack([rows.column(k).to_numpy() for k in range(keys)])
-            bounds = np.concatenate([[0], np.flatnonzero((key[:, 1:] != key[:, :-1]).any(axis=0)) + 1, [rows.num_rows]])
+            key = rows[:, 0]
+            bounds = np.concatenate([[0], np.flatnonzero(key[1:] != key[:-1]) + 1, [len(rows)]])
             sizes = np.diff(bounds)
-            wide = sizes > block if block else np.zeros(len(sizes), dtype=bool)
-            wide[0] |= over is not None and tuple(key[:, 0].tolist()) == over
-            last = tuple(key[:, -1].tolist())
-            over = last if wide[-1] else None
-            now = wide.copy()
+            wide = sizes > block
+            wide[0] |= begun == key[0]
+            whole = ~wide
             held = None
-            if batch is not None and not wide[-1]:
-                held = rows.slice(int(bounds[-2]))
-                now[-1] = True
-            whole = rows.filter(pa.array(np.repeat(~now, sizes)))
-            if whole.num_rows:
-                a, b = links_of(whole, np.concatenate([[0], np.cumsum(sizes[~now])]))
-                if len(a):
-                    yield pa.RecordBatch.from_arrays([a, b, pa.nulls(len(a), pa.int32()), *[pa.nulls(len(a), pa.int64())] * lanes], names=names)
-            if wide.any():
-                passed = rows.filter(pa.array(np.repeat(wide, sizes))).combine_chunks()
-                columns = [passed.column(keys), pa.chunked_array([pa.nulls(passed.num_rows, pa.int64())]), passed.column(0), *(passed.column(keys + 1 + k) for k in range(lanes))]
-                yield from pa.table(columns, names=names).to_batches()
+            if batch is not None and not wide[-1]:  # it may go on
+                held, whole[-1] = rows[bounds[-2] :], False
+            if whole.any():
+                yield from joined(rows[np.repeat(whole, sizes)], np.concatenate([[0], np.cumsum(sizes[whole])]))
+            for e in np.flatnonzero(wide).tolist():
+                entry, now = rows[bounds[e] : bounds[e + 1]], int(key[bounds[e]])
+                begun, part = now, part if begun == now else 0
+                end = len(entry)
+                if batch is not None and e == len(sizes) - 1:
+                    end -= end % block
+                    held = entry[end:]
+                for s in range(0, end, block):
+                    cut = entry[s : min(s + block, end)]
+                    yield from joined(cut, np.array([0, len(cut)]))
+                    ids = cut[:, 1]
+                    columns = ([ids.min()], pa.int64()), ([ids.max()], pa.int64()), ([now], pa.int32()), ([part], pa.int32()), ([cut[:, 1:].tobytes()], pa.binary())
+                    yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in columns], names=names)
+                    part += 1
 
     return run
 
 
+def _all_links(entries: DataFrame, linked: Linking, lanes: int, block: int) -> DataFrame:
+    """Links (a, b) of the ids of rows (key, id, codes) that are dealt out and sorted by key; pairs of blocks of large entries meet in tasks, a row each block."""
+    met = written(entries.mapInArrow(_compare(linked, block), MET), "met")
+    blocks = met.filter("key is not null").select("key", "part", "rows", F.col("a").alias("least"), F.col("b").alias("most"))
+    large = blocks.groupBy("key").agg(F.count("*").cast("int").alias("parts"), F.min("least").alias("lo"), F.max("most").alias("hi")).filter("parts > 1 and lo < hi")
+    other = blocks.join(large.select("key", "parts"), "key").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).filter("other <> part")
+    dealt = other.select("key", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "rows")
+
+    def across(pair: pa.Table) -> pa.Table:
+        both = [np.frombuffer(x, dtype=np.int64).reshape(-1, 1 + lanes) for x in pair.column("rows").to_pylist()]
+        rows = np.concatenate(both)
+        a, b = linked(rows[:, 0], rows[:, 1:].view(np.uint64), np.array([0, len(rows)]), np.repeat([0, 1], [len(x) for x in both]))
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    more = dealt.groupBy("key", "i", "j").applyInArrow(across, "a long, b long")
+    return met.filter("key is null").select("a", "b").unionByName(more).distinct()
+
+
 def links(nodes: DataFrame, lanes: int = 1, parts: tuple[tuple[int, int, int], ...] = ((0, 0, 64),), limit: int = RADIUS, radius: int = RADIUS, block: int = BLOCK) -> DataFrame:
     """(a, b) pairs of near rows of ``nodes`` (node, c0, c1, ...: ``lanes`` longs) that connect all near ones that collide.
 
@@ -267,22 +288,10 @@ def links(nodes: DataFrame, lanes: int = 1, parts: tuple[tuple[int, int, int], .
     some part are in one component of the result.
     """
     ready(nodes.sparkSession)
-    tables = _tables(parts, radius)
     codes = [f"c{k}" for k in range(lanes)]
-    table = F.explode(F.sequence(F.lit(0), F.lit(len(tables) - 1)))
-    lane, mask = (F.get(F.array(*[F.lit(t[k]) for t in tables]), "k") for k in (0, 1))
-    key = F.hash("k", F.get(F.array(*codes), lane).bitwiseAND(mask))  # made on both sides, as the number of a table takes a byte in the shuffle
-    spread = nodes.select(table.alias("k"), "node", *codes).repartition(key).select(key.alias("key"), "node", *codes).sortWithinPartitions("key")
-    schema = f"a long, b long, key int, {', '.join(f'{c} long' for c in codes)}"
-    met = written(spread.mapInArrow(_compare(1, lanes, limit, block), schema), "met")
-    large = met.filter("b is null").select("key", F.col("a").alias("node"), *codes)
-    shares = large.groupBy("key").agg(F.ceil(F.count("*") / block).cast("int").alias("parts"))
-    rows = large.join(shares, "key").withColumn("own", F.pmod(F.xxhash64("node", F.lit(7)), F.col("parts")).cast("int"))
-    other = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    dealt = other.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", *codes)
-    dealt = dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    more = dealt.mapInArrow(_compare(3, lanes, limit, None), schema)
-    return met.filter("b is not null").select("a", "b").unionByName(more.select("a", "b")).distinct()
+    spread, key = _spread(nodes.select("node", *codes), codes, _tables(parts, radius))
+    spread = spread.select(key.alias("key"), "node", *codes).sortWithinPartitions("key", "node")  # blocks, hence trees, are the same in every run
+    return _all_links(spread, lambda node, codes, bounds, own=None: _entry_links(node, codes, bounds, limit), lanes, block)
 
 
 def _tables(parts: tuple[tuple[int, int, int], ...], radius: int) -> list[tuple[int, int]]:
@@ -290,18 +299,20 @@ def _tables(parts: tuple[tuple[int, int, int], ...], radius: int) -> list[tuple[
     return [(lane, m - 2 * _SIGN if m >= _SIGN else m) for lane, first, bits in parts for m in (m << first for m in masks(radius, bits))]
 
 
+def _spread(rows: DataFrame, codes: list[str], tables: list[tuple[int, int]]) -> tuple[DataFrame, Column]:
+    """A row for each table, dealt out by the key of its entry, and the key; it is made on both sides, as the number of a table takes a byte in the shuffle."""
+    lane, mask = (F.get(F.array(*[F.lit(t[k]) for t in tables]), "k") for k in (0, 1))
+    key = F.hash("k", F.get(F.array(*codes), lane).bitwiseAND(mask))
+    return rows.select(F.explode(F.sequence(F.lit(0), F.lit(len(tables) - 1))).alias("k"), *rows.columns).repartition(key), key
+
+
 def _apart(nodes: DataFrame, block: int = BLOCK) -> DataFrame:
     """(a, b): families of ``nodes`` (node, codes, family) that connect all those of which nodes collide and differ in at most ``NEAR_ALL`` bits."""
     ready(nodes.sparkSession)
     codes = [f"c{k}" for k in range(LANES)]
-    rows = nodes.select("node", *[F.col("codes")[k].alias(c) for k, c in enumerate(codes)], "family")
-    keys = [F.hash(F.lit(k), F.col(codes[lane]).bitwiseAND(F.lit(m))) for k, (lane, m) in enumerate(_tables(PARTS, RADIUS))]
-    keyed = rows.withColumn("key", F.explode(F.array(*keys)))
-    some = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("family").alias("least"), F.max("family").alias("most")).filter("least < most")
-    dealt = _dealt(keyed.join(some.select("key", F.ceil(F.col("n") / block).cast("int").alias("parts")), "key"))
-    dealt = dealt.select("key", "i", "j", "node", *codes, "family", "own").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    names = [f"c{k}" for k in range(LANES + 2)]
-    return dealt.mapInArrow(_compare(3, LANES + 2, NEAR_ALL, None, families=True), f"a long, b long, key int, {', '.join(f'{c} long' for c in names)}").select("a", "b").distinct()
+    rows = nodes.select("family", *[F.col("codes")[k].alias(c) for k, c in enumerate(codes)])
+    spread, key = _spread(rows, codes, _tables(PARTS, RADIUS))
+    return _all_links(spread.select(key.alias("key"), "family", *codes).sortWithinPartitions("key"), _family_links, LANES, block)
 
 
 def _dealt(rows: DataFrame) -> DataFrame:

@@ -245,6 +245,43 @@ def test_near_copies_in_a_large_family(spark, monkeypatch):
     assert rows["asked"] > n / 2 and max(rows.values()) < 124 * len(texts), rows
 
 
+@pytest.mark.parametrize("block", [8, 1024])
+def test_families_meet_in_large_entries(spark, monkeypatch, block):
+    """Families are linked as by brute force, and joins by key have a row for each block of an entry at most, none for its members."""
+    rng = np.random.default_rng(9)
+    start = rng.integers(0, 2**64, (6, simhash.LANES), dtype=np.uint64)
+    codes = np.repeat(start, 50, axis=0)
+    codes[:, 2] ^= np.uint64(1) << np.arange(300, dtype=np.uint64) % np.uint64(50)  # outside of what tables are built of
+    far = codes[150:200]
+    far[:, 3:] = rng.integers(0, 2**64, (50, simhash.LANES - 3), dtype=np.uint64)  # they collide but aren't near
+    family = np.where(np.arange(300) < 100, 0, np.arange(300) // 2)
+    near = np.bitwise_count(codes[:, None] ^ codes[None]).sum(axis=2) <= simhash.NEAR_ALL
+    label = family.copy()
+    for _ in range(300):
+        label = np.array([label[near[i] | (family == family[i])].min() for i in range(300)])
+    data = [(i, c.view(np.int64).tolist(), int(f)) for i, (c, f) in enumerate(zip(codes, family, strict=True))]
+    frame, joined = type(spark.range(1)), []
+    join = frame.join
+
+    def counted(self, other, on=None, how=None):
+        out = join(self, other, on, how)
+        joined.append(out.count() if on == "key" else 0)
+        return out
+
+    monkeypatch.setattr(frame, "join", counted)
+    found = simhash._apart(spark.createDataFrame(data, "node long, codes array<long>, family long"), block=block).collect()
+    monkeypatch.undo()
+    got = dict(zip(range(300), family.tolist(), strict=True))
+    for _ in range(300):
+        least = {r.a: min(got[x] for x in got if family[x] in (r.a, r.b)) for r in found}
+        new = {x: min([v, *(least[r.a] for r in found if family[x] in (r.a, r.b))]) for x, v in got.items()}
+        if new == got:
+            break
+        got = new
+    assert list(got.values()) == label.tolist() and len(set(label.tolist())) > 4
+    assert sum(joined) <= 124 * len(data) / block + 124 * 6, joined
+
+
 def test_components(spark):
     path = [(i, i + 1) for i in range(200)]
     got = components.components(spark.createDataFrame([*path, (500, 501), (501, 500), (7, 7)], "a long, b long")).collect()
