@@ -460,6 +460,7 @@ def _open_roots(pairs: DataFrame, placed: DataFrame) -> DataFrame:
     """Roots of the groups that a rejected link leaves apart from others, unless these are two single nodes and so decided."""
     of = lambda x: placed.select(F.col("node").alias(x), F.col("root").alias(f"root_{x}"))
     cross = pairs.join(of("a"), "a").join(of("b"), "b").filter("root_a <> root_b")
+    cross = written(cross.select("root_a", "root_b").distinct(), "cross")  # it is read from several sides
     cross = cross.select(F.col("root_a").alias("root"), F.col("root_b").alias("other")).unionByName(cross.select(F.col("root_b").alias("root"), F.col("root_a").alias("other")))
     met = cross.groupBy("root").agg((F.min("other") == F.max("other")).alias("one"), F.min("other").alias("other"))
     lone = placed.groupBy("root").agg((F.count("*") == 1).alias("lone"))

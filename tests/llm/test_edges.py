@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 import zlib
 from collections import Counter
 
@@ -282,6 +283,15 @@ def test_families_meet_in_large_entries(spark, monkeypatch, block):
     assert sum(joined) <= 124 * len(data) / block + 124 * 6, joined
 
 
+def test_open_roots_join_the_pairs_once(spark):
+    """Two single nodes are decided; all other groups that a pair leaves apart are open. The pairs are joined before, once."""
+    pairs = spark.createDataFrame([(1, 2), (3, 4), (4, 5), (6, 7)], "a long, b long")
+    placed = spark.createDataFrame([(1, 1), (2, 2), (3, 3), (4, 4), (5, 4), (6, 6), (7, 6)], "node long, root long")
+    out = simhash._open_roots(pairs, placed)
+    assert sorted(r.root for r in out.collect()) == [3, 4]
+    assert not re.search(r"Join.*root_a", out._jdf.queryExecution().optimizedPlan().toString())
+
+
 def test_components(spark):
     path = [(i, i + 1) for i in range(200)]
     got = components.components(spark.createDataFrame([*path, (500, 501), (501, 500), (7, 7)], "a long, b long")).collect()
